@@ -1,0 +1,4 @@
+"""Registered queries (Spark plan + DuckDB oracle per operator)."""
+
+from . import catalog, metric_queries  # noqa: F401  (modules register on import)
+from .registry import ORACLE, QUERIES  # noqa: F401

@@ -9,9 +9,6 @@ flags INTEGER, and every output column carries the same alias.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import r6
@@ -19,27 +16,10 @@ from ..operators import clean, labels, score, split, validate
 from ..specs import (COMPANION_SUFFIX, IDENTIFIER_COLUMNS, MISSING_CODES, SCORECARD_C,
                      SCORECARD_E, SCORECARD_O, SCORECARD_R_PROVISIONAL, MODEL_SPECS, SplitSpec)
 from . import fixtures as fx
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-# Periods of the stand-in data (order years 1995-2001).
-STANDIN_SPLIT = SplitSpec(1995, 1998, 1999, 2001, None, None, None, enforce_counts=False)
+from .registry import ORACLE, QUERIES, STANDIN_SPLIT, d6, register  # noqa: F401
 
 _CODES_SQL = "(" + ", ".join(f"'{c}'" for c in MISSING_CODES) + ")"
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def _d6(expr: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) + 0.0"
+_d6 = d6
 
 
 # ---------------------------------------------------------------------------
