@@ -176,6 +176,7 @@ PREDICTION_EXPRS = (
     "CAST(year(o_orderdate) AS INT) AS index_year",
     "CASE WHEN year(o_orderdate) <= 1998 THEN 'development' ELSE 'temporal' END AS split",
     "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS observed",
+    "o_orderpriority AS priority",
     # integer numerator / 1000.0: identical IEEE result in both engines, many ties
     "CAST(CAST(FLOOR(o_totalprice) AS BIGINT) % 600 "
     "+ CASE WHEN o_orderstatus = 'F' THEN 250 ELSE 0 END "
