@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, FloatType,
+                               IntegerType, LongType, ShortType)
 
 from ..specs import LOGIT_EPS
 
@@ -32,6 +34,30 @@ def to_double(c) -> Column:
     return nan_to_null(col(c).cast("string").try_cast("double"))
 
 
+_EXACT = (IntegerType, LongType, ShortType, ByteType, DecimalType, BooleanType)
+
+
+def num(df: DataFrame | None, c) -> Column:
+    """Numeric value of a column by its actual type: integral/decimal cast
+    directly, floating point with NaN -> null, text parsed leniently."""
+    if df is not None and isinstance(c, str) and c in df.columns:
+        dt = df.schema[c].dataType
+        if isinstance(dt, _EXACT):
+            return F.col(c).cast("double")
+        if isinstance(dt, (DoubleType, FloatType)):
+            return nan_to_null(F.col(c).cast("double"))
+    return to_double(c)
+
+
+def binary01(df: DataFrame | None, c) -> Column:
+    """0/1 integer flag, null when missing or outside {0, 1}."""
+    if df is not None and isinstance(c, str) and c in df.columns \
+            and isinstance(df.schema[c].dataType, (IntegerType, LongType, ShortType, ByteType)):
+        return F.when(F.col(c).isin(0, 1), F.col(c).cast("int"))
+    d = num(df, c)
+    return F.when(d.isin(0.0, 1.0), d.cast("int"))
+
+
 def truth(cond: Column) -> Column:
     """Missing comparison = criterion not met."""
     return F.coalesce(cond, F.lit(False))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import logit as _logit
-from ..functions.exprs import to_double
+from ..functions.exprs import num, to_double
 from ..specs import COMPANION_SUFFIX, MISSING_CODES
 
 
@@ -47,7 +47,7 @@ def preserve_missing_codes(df: DataFrame, cols: Iterable[str] | None = None,
 def coerce_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Unparsable -> null (never zero), NaN -> null."""
     cols = set(cols)
-    return df.select(*[to_double(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[num(df, c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def binary_value(c: str) -> Column:
@@ -130,7 +130,7 @@ def eligible_rows(df: DataFrame, eligibility_column: str | None, target: str | N
     if eligibility_column:
         if eligibility_column not in df.columns:
             raise KeyError(f"Missing eligibility column: {eligibility_column}")
-        cond = cond & F.coalesce(to_double(eligibility_column) == 1.0, F.lit(False))
+        cond = cond & F.coalesce(num(df, eligibility_column) == 1.0, F.lit(False))
     if target:
         if target not in df.columns:
             raise KeyError(f"Missing target column: {target}")

@@ -21,6 +21,22 @@ from pyspark.sql import functions as F
 BUCKET = "__bucket"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a pre-aggregated frame (a histogram of distinct keys, a table
+    per group) to the shared checkpoint folder and read it back.
+
+    The ordered scans below use their input several times (a boundary
+    sketch, per-bucket totals, the running window); without this each use
+    would re-read and re-aggregate the source, and filters inferred from
+    join keys would be pushed into the source scan with every upstream
+    expression inlined.  Reliable checkpoint (not a local one): a lost
+    executor does not lose it.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _n_buckets(df: DataFrame, requested: int | None) -> int:
     if requested:
         return requested
@@ -51,12 +67,16 @@ def bucketize(df: DataFrame, order_col: str, n_buckets: int | None = None,
 
 def prefix_sums(df: DataFrame, by: Sequence[str], order_col: str, sum_cols: Sequence[str],
                 inclusive: bool = False, prefix: str = "cum_", n_buckets: int | None = None,
-                tiebreak: Sequence[str] = (), descending: bool = False) -> DataFrame:
+                tiebreak: Sequence[str] = (), descending: bool = False,
+                materialized: bool = False) -> DataFrame:
     """For each row, the sum of ``sum_cols`` over rows of the same ``by``
     group that come earlier in ``order_col`` order (``inclusive`` adds the
     row itself).  Rows should be distinct on ``by + order_col (+ tiebreak)``.
+    ``materialized``: the caller already checkpointed ``df``.
     """
     by = list(by)
+    if not materialized:
+        df = materialize(df)
     key = order_col
     if descending:
         key = "__neg_key"
@@ -78,21 +98,22 @@ def prefix_sums(df: DataFrame, by: Sequence[str], order_col: str, sum_cols: Sequ
 
 
 def global_rank(df: DataFrame, by: Sequence[str], order_col: str, tiebreak: Sequence[str] = (),
-                out: str = "rank", n_buckets: int | None = None) -> DataFrame:
+                out: str = "rank", n_buckets: int | None = None, materialized: bool = False) -> DataFrame:
     """0-based row number in ``order_col`` (then ``tiebreak``) order within
     ``by``; distributed (bucketed prefix count), no single-task window."""
     one = "__one"
     ranked = prefix_sums(df.withColumn(one, F.lit(1).cast("bigint")), by, order_col, [one],
-                         inclusive=False, prefix="__cum", n_buckets=n_buckets, tiebreak=tiebreak)
+                         inclusive=False, prefix="__cum", n_buckets=n_buckets, tiebreak=tiebreak,
+                         materialized=materialized)
     return ranked.withColumnRenamed(f"__cum{one}", out).drop(one)
 
 
 def value_at_ranks(hist: DataFrame, by: Sequence[str], value_col: str, count_col: str,
                    targets: DataFrame, rank_col: str = "target_rank") -> DataFrame:
-    """Order statistics: ``hist`` has one row per distinct value with its
-    count; ``targets`` (small: by + rank) asks for 0-based ranks.  Returns
-    targets joined with the value covering each rank."""
-    cum = prefix_sums(hist, by, value_col, [count_col], prefix="__lt_")
+    """Order statistics: ``hist`` (materialized) has one row per distinct
+    value with its count; ``targets`` (small: by + rank) asks for 0-based
+    ranks.  Returns targets joined with the value covering each rank."""
+    cum = prefix_sums(hist, by, value_col, [count_col], prefix="__lt_", materialized=True)
     cum = cum.select(*[F.col(c).alias(f"__k_{c}") for c in by], F.col(value_col).alias("value"),
                      F.col(f"__lt_{count_col}").alias("__lo"), F.col(count_col).alias("__c"))
     cond = [*(F.col(c) == F.col(f"__k_{c}") for c in by),
@@ -109,7 +130,8 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[
     distinct-value histogram -> prefix counts -> the two order statistics
     around ``q * (n - 1)``.  Returns (by..., q, quantile)."""
     by = list(by)
-    hist = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("__cnt"))
+    hist = materialize(df.filter(F.col(col).isNotNull()).groupBy(*by, col)
+                       .agg(F.count(F.lit(1)).alias("__cnt")))
     n = hist.groupBy(*by).agg(F.sum("__cnt").alias("__n"))
     qarr = F.array(*[F.lit(float(q)) for q in probs])
     t = n.select(*by, "__n", F.explode(qarr).alias("q")).withColumn(

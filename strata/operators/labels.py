@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import to_double
+from ..functions.exprs import binary01, num
 from ..specs import (ASSESSMENT_WINDOW, COMPOSITE_DURATION_SEC, COMPOSITE_MIN_COMPONENTS,
                      COMPOSITE_REPOSITIONS, ORDINAL_CUT, ORDINAL_MAX, ORDINAL_MIN,
                      SURVIVAL_HORIZON_DAYS)
@@ -46,13 +46,8 @@ def require_sources(df: DataFrame, cols: Sequence[str], endpoint: str) -> None:
         raise EndpointDefinitionError(f"{endpoint} requires source columns {missing}")
 
 
-def _bin(c: str) -> Column:
-    d = to_double(c)
-    return F.when(d.isin(0.0, 1.0), d.cast("int"))
-
-
-def _bin_bad(c: str, allow_missing: bool) -> Column:
-    d = to_double(c)
+def _bin_bad(df: DataFrame, c: str, allow_missing: bool) -> Column:
+    d = num(df, c)
     bad = d.isNotNull() & ~d.isin(0.0, 1.0)
     return bad if allow_missing else (bad | d.isNull())
 
@@ -71,26 +66,31 @@ def composite_label(df: DataFrame, sources: Sequence[str] = COMPOSITE_SOURCES,
     """
     if not _has(df, sources):
         if supplied and supplied in df.columns:
-            return df.withColumn(label, _bin(supplied))
+            return df.withColumn(label, binary01(df, supplied))
         require_sources(df, sources, "composite label")
-    c1, c2 = _bin(sources[0]), _bin(sources[1])
-    dur, rep = to_double(sources[2]), to_double(sources[3])
-    c5, c6 = _bin(sources[4]), _bin(sources[5])
+    staged = df.withColumns({
+        "__c1": binary01(df, sources[0]), "__c2": binary01(df, sources[1]),
+        "__dur": num(df, sources[2]), "__rep": num(df, sources[3]),
+        "__c5": binary01(df, sources[4]), "__c6": binary01(df, sources[5])})
+    if supplied and supplied in df.columns:
+        staged = staged.withColumn(f"{label}__supplied", binary01(df, supplied))
+    dur, rep = F.col("__dur"), F.col("__rep")
     c3 = F.when(dur >= 0, (dur > duration_cut).cast("int"))
     c4 = F.when(rep >= 0, (rep >= repositions_cut).cast("int"))
-    count = c1 + c2 + c3 + c4 + c5 + c6          # null if any source invalid
+    staged = staged.withColumns({"__c3": c3, "__c4": c4})
+    count = (F.col("__c1") + F.col("__c2") + F.col("__c3") + F.col("__c4") + F.col("__c5")
+             + F.col("__c6"))                                  # null if any source invalid
     derived = F.when(count.isNotNull(),
-                     ((count >= min_count) | (c4 == 1) | (c5 == 1)).cast("int"))
-    if supplied and supplied in df.columns:
-        df = df.withColumn(f"{label}__supplied", _bin(supplied))
-    return df.withColumn(count_col, count.cast("int")).withColumn(label, derived)
+                     ((count >= min_count) | (F.col("__c4") == 1) | (F.col("__c5") == 1)).cast("int"))
+    return (staged.withColumns({count_col: count.cast("int"), label: derived})
+            .drop("__c1", "__c2", "__c3", "__c4", "__c5", "__c6", "__dur", "__rep"))
 
 
 def composite_findings(df: DataFrame, sources: Sequence[str] = COMPOSITE_SOURCES) -> DataFrame:
     require_sources(df, sources, "composite label")
     flags = [sources[i] for i in (0, 1, 4, 5)]
-    dur, rep = to_double(sources[2]), to_double(sources[3])
-    aggs = [F.count(F.when(_bin_bad(c, False), 1)).alias(c) for c in flags]
+    dur, rep = num(df, sources[2]), num(df, sources[3])
+    aggs = [F.count(F.when(_bin_bad(df, c, False), 1)).alias(c) for c in flags]
     aggs += [F.count(F.when(dur.isNull() | (dur < 0), 1)).alias(sources[2]),
              F.count(F.when(rep.isNull() | (rep < 0), 1)).alias(sources[3])]
     row = df.agg(*aggs)
@@ -105,9 +105,11 @@ def adjudicated_label(df: DataFrame, sources: Sequence[str] = ADJUDICATED_SOURCE
     indeterminate; otherwise the supplied label; else null (finding)."""
     if not _has(df, sources):
         if supplied and supplied in df.columns:
-            return df.withColumn(label, _bin(supplied))
+            return df.withColumn(label, binary01(df, supplied))
         require_sources(df, sources, "adjudicated label")
-    f = {c: _bin(c) for c in sources}
+    tmp = {c: f"__a{i}" for i, c in enumerate(sources)}
+    staged = df.withColumns({tmp[c]: binary01(df, c) for c in sources})
+    f = {c: F.col(tmp[c]) for c in sources}
     dwi, ct, deficit, concordant = (f[sources[i]] == 1 for i in range(4))
     exclusions = None
     for c in sources[4:9]:
@@ -121,9 +123,9 @@ def adjudicated_label(df: DataFrame, sources: Sequence[str] = ADJUDICATED_SOURCE
     rule = (((dwi | ct) & concordant) | deficit) & ~exclusions
     derived = F.when(sufficient & ~indeterminate, rule.cast("int"))
     if supplied and supplied in df.columns:
-        df = df.withColumn(f"{label}__supplied", _bin(supplied))
+        staged = staged.withColumn(f"{label}__supplied", binary01(df, supplied))
         derived = F.coalesce(derived, F.col(f"{label}__supplied"))
-    return df.withColumn(label, derived)
+    return staged.withColumn(label, derived).drop(*tmp.values())
 
 
 def survival_fields(df: DataFrame, palsy: str = "preop_cn3_palsy",
@@ -150,32 +152,35 @@ def survival_fields(df: DataFrame, palsy: str = "preop_cn3_palsy",
     if event_col is None:
         raise EndpointDefinitionError(f"survival fields require one of {list(event_cols)}")
     require_sources(df, [recovery_time, last_assessment], "survival fields")
-    eligible = F.coalesce(_bin(palsy) == 1, F.lit(False))
-    event = _bin(event_col)
-    rec = to_double(recovery_time)
-    last = to_double(last_assessment)
-    died = (_bin(death_flag) == 1) if death_flag in df.columns else F.lit(False)
-    dtime = to_double(death_time) if death_time in df.columns else F.lit(None).cast("double")
-    censor = F.least(F.lit(float(horizon)),
-                     F.when(last > 0, last),
-                     F.when(F.coalesce(died, F.lit(False)) & (dtime > 0), dtime))
+    staged = df.withColumns({
+        "__elig": F.coalesce(binary01(df, palsy) == 1, F.lit(False)),
+        "__ev": binary01(df, event_col),
+        "__rec": num(df, recovery_time), "__last": num(df, last_assessment),
+        "__died": F.coalesce(binary01(df, death_flag) == 1, F.lit(False))
+        if death_flag in df.columns else F.lit(False),
+        "__dt": num(df, death_time) if death_time in df.columns else F.lit(None).cast("double")})
+    eligible, event = F.col("__elig"), F.col("__ev")
+    rec, last, died, dtime = F.col("__rec"), F.col("__last"), F.col("__died"), F.col("__dt")
+    censor = F.least(F.lit(float(horizon)), F.when(last > 0, last), F.when(died & (dtime > 0), dtime))
     valid_event_time = (rec > 0) & (rec <= horizon)
     time = (F.when(eligible & (event == 1) & F.coalesce(valid_event_time, F.lit(False)), rec)
             .when(eligible & (event == 0), censor))
-    ev = F.when(time.isNotNull(), event)
-    return (df.withColumn(event_out, ev.cast("int"))
-            .withColumn(time_out, time.cast("double"))
-            .withColumn(landmark_out, F.when(eligible & event.isNotNull(), 1 - event).cast("int")))
+    staged = staged.withColumn(time_out, time.cast("double"))
+    ev = F.when(F.col(time_out).isNotNull(), event)
+    return (staged.withColumns({
+        event_out: ev.cast("int"),
+        landmark_out: F.when(eligible & event.isNotNull(), 1 - event).cast("int")})
+        .drop("__elig", "__ev", "__rec", "__last", "__died", "__dt"))
 
 
 def survival_findings(df: DataFrame, palsy: str = "preop_cn3_palsy",
                       event_col: str = "cn3_complete_recovery_12m",
                       recovery_time: str = "time_to_complete_recovery_days") -> DataFrame:
-    eligible = F.coalesce(_bin(palsy) == 1, F.lit(False))
-    event = _bin(event_col)
-    rec = to_double(recovery_time)
+    eligible = F.coalesce(binary01(df, palsy) == 1, F.lit(False))
+    event = binary01(df, event_col)
+    rec = num(df, recovery_time)
     row = df.agg(
-        F.count(F.when(_bin_bad(palsy, False), 1)).alias("palsy"),
+        F.count(F.when(_bin_bad(df, palsy, False), 1)).alias("palsy"),
         F.count(F.when(eligible & event.isNull(), 1)).alias("event"),
         F.count(F.when(eligible & (event == 1) & ~F.coalesce((rec > 0) & (rec <= SURVIVAL_HORIZON_DAYS),
                                                             F.lit(False)), 1)).alias("time"))
@@ -195,25 +200,26 @@ def thresholded_ordinal_label(df: DataFrame, value: str = "mrs_90d",
     flag column, else the assessment-day window, else value known.  Values
     outside [lo, hi] or non-integer (decision Q8) give a null label."""
     require_sources(df, [value], "ordinal label")
-    v = to_double(value)
+    v = num(df, value)
     valid_v = F.when(v.between(lo, hi) & (v == F.floor(v)), v)
     if flag in df.columns:
-        eligible = F.coalesce(_bin(flag) == 1, F.lit(False))
+        eligible = F.coalesce(binary01(df, flag) == 1, F.lit(False))
     elif day in df.columns:
-        eligible = F.coalesce(to_double(day).between(*window), F.lit(False))
+        eligible = F.coalesce(num(df, day).between(*window), F.lit(False))
     else:
         eligible = v.isNotNull()
-    derived = F.when(eligible & valid_v.isNotNull(), (valid_v > cut).cast("int"))
+    staged = df.withColumns({"__v": valid_v, "__e": eligible})
+    derived = F.when(F.col("__e") & F.col("__v").isNotNull(), (F.col("__v") > cut).cast("int"))
     if supplied and supplied in df.columns:
-        df = df.withColumn(f"{label}__supplied", _bin(supplied))
-        derived = F.coalesce(derived, F.when(eligible, F.col(f"{label}__supplied")))
-    return (df.withColumn(flag, eligible.cast("int"))
-            .withColumn(label, derived))
+        staged = staged.withColumn(f"{label}__supplied", binary01(df, supplied))
+        derived = F.coalesce(derived, F.when(F.col("__e"), F.col(f"{label}__supplied")))
+    return (staged.withColumns({flag: F.col("__e").cast("int"), label: derived})
+            .drop("__v", "__e"))
 
 
 def ordinal_findings(df: DataFrame, value: str = "mrs_90d", lo: int = ORDINAL_MIN,
                      hi: int = ORDINAL_MAX) -> DataFrame:
-    v = to_double(value)
+    v = num(df, value)
     row = df.agg(F.count(F.when(v.isNotNull() & ~(v.between(lo, hi) & (v == F.floor(v))), 1)).alias("n"))
     return _long(row, [_finding("ordinal_domain", value, F.col("n"))])
 
@@ -222,7 +228,7 @@ def label_concordance(df: DataFrame, supplied: str, derived: str, key: str,
                       first: int = 10) -> DataFrame:
     """Rows where both labels are known and differ: the count and the
     first ``first`` row keys (top-k by key, no global sort)."""
-    a, b = _bin(supplied), F.col(derived)
+    a, b = binary01(df, supplied), F.col(derived)
     mism = df.filter(a.isNotNull() & b.isNotNull() & (a != b))
     n = mism.agg(F.count(F.lit(1)).cast("bigint").alias("n_mismatch")) \
         .withColumn("k", F.lit(None).cast("string"))

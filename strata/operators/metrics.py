@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..specs import DECISION_CURVE_THRESHOLDS
-from .kernels import exact_quantiles, prefix_sums
+from .kernels import exact_quantiles, materialize, prefix_sums
 
 
 def attach(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -49,8 +49,8 @@ def auc_ap(df: DataFrame, by: Sequence[str], label: str, score: str,
     """R6 ROC AUC (ties count 1/2) and R7 average precision (step-wise,
     no interpolation) per group.  Null when a class is absent."""
     by = list(by)
-    hist = score_histogram(df, by, label, score, weight)
-    cum = prefix_sums(hist, by, "score", ["pos", "neg"], prefix="lt_")
+    hist = materialize(score_histogram(df, by, label, score, weight))
+    cum = prefix_sums(hist, by, "score", ["pos", "neg"], prefix="lt_", materialized=True)
     tot = class_totals(hist, by)
     j = attach(cum, tot, by)
     P, N = F.col("P").cast("double"), F.col("N").cast("double")
@@ -73,9 +73,9 @@ def youden_threshold(df: DataFrame, by: Sequence[str], label: str, score: str,
     ends = groups.select(*by, F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("score"),
                          F.lit(0).cast(hist.schema["pos"].dataType).alias("pos"),
                          F.lit(0).cast(hist.schema["neg"].dataType).alias("neg"))
-    cand = hist.unionByName(ends).groupBy(*by, "score").agg(F.sum("pos").alias("pos"),
-                                                             F.sum("neg").alias("neg"))
-    cum = prefix_sums(cand, by, "score", ["pos", "neg"], prefix="lt_")
+    cand = materialize(hist.unionByName(ends).groupBy(*by, "score").agg(F.sum("pos").alias("pos"),
+                                                                         F.sum("neg").alias("neg")))
+    cum = prefix_sums(cand, by, "score", ["pos", "neg"], prefix="lt_", materialized=True)
     tot = class_totals(cand, by)
     j = attach(cum, tot, by)
     sens = F.when(F.col("P") > 0, (F.col("P") - F.col("lt_pos")) / F.col("P")).otherwise(0.0)
@@ -149,8 +149,8 @@ def roc_points(df: DataFrame, by: Sequence[str], label: str, score: str,
                weight: str | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score (predicted = score >= t)."""
     by = list(by)
-    hist = score_histogram(df, by, label, score, weight)
-    cum = prefix_sums(hist, by, "score", ["pos", "neg"], prefix="lt_")
+    hist = materialize(score_histogram(df, by, label, score, weight))
+    cum = prefix_sums(hist, by, "score", ["pos", "neg"], prefix="lt_", materialized=True)
     tot = class_totals(hist, by)
     j = attach(cum, tot, by)
     return j.select(*by, F.col("score").alias("threshold"),
@@ -216,13 +216,9 @@ def expected_score(probs: Sequence[str]) -> Column:
 
 
 def argmax_class(probs: Sequence[str]) -> Column:
-    """Argmax, ties -> lowest class."""
-    best = F.greatest(*[F.col(c) for c in probs])
-    out = None
-    for k in reversed(range(len(probs))):
-        out = F.when(F.col(probs[k]) == best, F.lit(k)) if out is None else \
-            F.when(F.col(probs[k]) == best, F.lit(k)).otherwise(out)
-    return out
+    """Argmax, ties -> lowest class (first position of the maximum)."""
+    arr = F.array(*[F.col(c) for c in probs])
+    return (F.array_position(arr, F.array_max(arr)) - 1).cast("int")
 
 
 def ranked_probability_score_row(label: str, probs: Sequence[str]) -> Column:
@@ -247,7 +243,7 @@ def ordinal_concordance(df: DataFrame, by: Sequence[str], label: str, score: str
     hist = df.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         *[F.sum(F.when(y == k, 1).otherwise(0)).alias(f"n{k}") for k in range(n_classes)])
     cols = [f"n{k}" for k in range(n_classes)]
-    cum = prefix_sums(hist, by, "score", cols, prefix="lt_")
+    cum = prefix_sums(hist, by, "score", cols, prefix="lt_")  # materializes the histogram
     conc, disc, ties = F.lit(0), F.lit(0), F.lit(0)
     for b in range(n_classes):
         lower = sum((F.col(f"lt_n{a}") for a in range(b)), F.lit(0))
@@ -269,25 +265,25 @@ def ordinal_concordance(df: DataFrame, by: Sequence[str], label: str, score: str
 
 def quadratic_weighted_kappa(df: DataFrame, by: Sequence[str], label: str, predicted: str) -> DataFrame:
     """Weights (i-j)^2 on positions in the sorted union of observed and
-    predicted labels.  Sum w*E expands to marginal moments, so only a
-    K x K confusion table and per-label marginals are ever built."""
+    predicted labels.  One confusion aggregate (K x K rows per group); the
+    label positions come from the group's sorted distinct labels (a window
+    over that small table), and sum w*E expands to marginal moments, so
+    there is no join and no pair table."""
+    from pyspark.sql import Window
     by = list(by)
     conf = df.groupBy(*by, F.col(label).alias("__y"), F.col(predicted).alias("__p")).agg(
         F.count(F.lit(1)).alias("__o"))
-    labels_ = (conf.select(*by, F.col("__y").alias("__v")).union(conf.select(*by, F.col("__p").alias("__v")))
-               .distinct())
-    from pyspark.sql import Window
     part = by if by else [F.lit(0)]
-    pos = labels_.withColumn("__pos", (F.dense_rank().over(Window.partitionBy(*part).orderBy("__v")) - 1)
-                             .cast("double"))
-    py = pos.select(*by, F.col("__v").alias("__y"), F.col("__pos").alias("__py"))
-    pp = pos.select(*by, F.col("__v").alias("__p"), F.col("__pos").alias("__pp"))
-    c = conf.join(py, [*by, "__y"]).join(pp, [*by, "__p"])
+    levels = F.array_sort(F.array_distinct(F.flatten(
+        F.collect_set(F.array(F.col("__y"), F.col("__p"))).over(Window.partitionBy(*part)))))
+    c = conf.withColumn("__lv", levels)
+    py = (F.array_position("__lv", F.col("__y")) - 1).cast("double")
+    pp = (F.array_position("__lv", F.col("__p")) - 1).cast("double")
     o = F.col("__o").cast("double")
     agg = c.groupBy(*by).agg(
-        F.sum(o).alias("n"), F.sum(o * (F.col("__py") - F.col("__pp")) ** 2).alias("wo"),
-        F.sum(o * F.col("__py") ** 2).alias("r2"), F.sum(o * F.col("__pp") ** 2).alias("c2"),
-        F.sum(o * F.col("__py")).alias("r1"), F.sum(o * F.col("__pp")).alias("c1"))
+        F.sum(o).alias("n"), F.sum(o * (py - pp) * (py - pp)).alias("wo"),
+        F.sum(o * py * py).alias("r2"), F.sum(o * pp * pp).alias("c2"),
+        F.sum(o * py).alias("r1"), F.sum(o * pp).alias("c1"))
     we = (F.col("n") * F.col("r2") + F.col("n") * F.col("c2") - 2 * F.col("r1") * F.col("c1")) / F.col("n")
     return agg.select(*by, F.when(we != 0, 1 - F.col("wo") / we).alias("quadratic_weighted_kappa"))
 
@@ -297,7 +293,8 @@ def ordinal_metric_bundle(df: DataFrame, by: Sequence[str], label: str, probs: S
     if len(probs) != 7:
         raise ValueError("ordinal probabilities must have seven columns (classes 0-6)")
     by = list(by)
-    scored = df.withColumn("__es", expected_score(probs)).withColumn("__am", argmax_class(probs))
+    scored = (df.select(*by, label, *probs)
+              .withColumns({"__es": expected_score(probs), "__am": argmax_class(probs)}))
     row = scored.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(ranked_probability_score_row(label, probs)).alias("ranked_probability_score"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import to_double
+from ..functions.exprs import num
 from ..specs import SplitSpec
 from .validate import _finding, _long, check_group_overlap, union_findings
 
@@ -29,7 +29,7 @@ def split_temporal(df: DataFrame, spec: SplitSpec, year_col: str = "index_year",
     The per-entity minimum is a partial aggregate + join (skew-safe: a hot
     entity is pre-aggregated map-side, AQE splits a skewed join partition).
     """
-    year = to_double(year_col)
+    year = num(df, year_col)
     if policy == "by_row":
         return df.withColumn(out, _split_of(year, spec))
     if policy != "by_group":

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import logit
 from ..specs import CONFORMAL_ALPHA
-from .kernels import value_at_ranks
+from .kernels import materialize, value_at_ranks
 from .metrics import attach
 
 
@@ -37,7 +37,8 @@ def conformal_quantile(scores: DataFrame, by: Sequence[str] = (), score: str = "
     0-based index ceil(level (n-1)) (numpy ``method='higher'``), found on
     the distinct-score histogram (no global sort).  Returns (by..., n, qhat)."""
     by = list(by)
-    hist = scores.groupBy(*by, F.col(score).cast("double").alias("__s")).agg(F.count(F.lit(1)).alias("__c"))
+    hist = materialize(scores.groupBy(*by, F.col(score).cast("double").alias("__s"))
+                       .agg(F.count(F.lit(1)).alias("__c")))
     n = hist.groupBy(*by).agg(F.sum("__c").alias("n"))
     level = F.least(F.lit(1.0), F.ceil((F.col("n") + 1) * F.lit(1.0 - alpha)) / F.col("n"))
     targets = n.select(*by, "n", F.ceil(level * (F.col("n") - 1)).alias("target_rank"))

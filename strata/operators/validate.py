@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import to_double
+from ..functions.exprs import num
 from ..specs import (COMPANION_SUFFIX, IDENTIFIER_COLUMNS, MISSING_CODES,
                      UNSUPPORTED_CODE_PREFIX, SplitSpec)
 
@@ -52,14 +52,14 @@ def check_unique_key(df: DataFrame, key: str) -> DataFrame:
 def check_flag_domain(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """V5: missing, non-numeric or outside {0,1}."""
     cols = [c for c in cols if c in df.columns]
-    row = df.agg(*[F.count(F.when(~F.coalesce(to_double(c).isin(0.0, 1.0), F.lit(False)), 1)).alias(c)
+    row = df.agg(*[F.count(F.when(~F.coalesce(num(df, c).isin(0.0, 1.0), F.lit(False)), 1)).alias(c)
                    for c in cols])
     return _long(row, [_finding("flag_domain", c, F.col(c)) for c in cols])
 
 
 def check_range(df: DataFrame, col: str, lo: float, hi: float, integer: bool = True) -> DataFrame:
     """V6: missing/non-numeric, outside [lo, hi], and (by decision Q9) non-integer."""
-    d = to_double(col)
+    d = num(df, col)
     row = df.agg(
         F.count(F.when(d.isNull(), 1)).alias("missing"),
         F.count(F.when(~d.between(lo, hi), 1)).alias("outside"),
@@ -80,7 +80,7 @@ def _periods(year: Column, spec: SplitSpec) -> tuple[Column, Column]:
 
 def check_expected_counts(df: DataFrame, year_col: str, spec: SplitSpec) -> DataFrame:
     """V7: observed minus expected for total / development / temporal (one agg)."""
-    dev, tmp = _periods(to_double(year_col), spec)
+    dev, tmp = _periods(num(df, year_col), spec)
     row = df.agg(F.count(F.lit(1)).alias("total"),
                  F.count(F.when(dev, 1)).alias("development"),
                  F.count(F.when(tmp, 1)).alias("temporal"))
@@ -94,7 +94,7 @@ def check_expected_counts(df: DataFrame, year_col: str, spec: SplitSpec) -> Data
 def overlap_groups(df: DataFrame, group_col: str, year_col: str, spec: SplitSpec) -> DataFrame:
     """Entities seen on both sides of the period boundary (one shuffle,
     map-side partial aggregation keeps a hot entity cheap)."""
-    dev, tmp = _periods(to_double(year_col), spec)
+    dev, tmp = _periods(num(df, year_col), spec)
     per = df.groupBy(group_col).agg(F.max(dev.cast("int")).alias("d"),
                                     F.max(tmp.cast("int")).alias("t"))
     return per.filter((F.col("d") == 1) & (F.col("t") == 1)).select(group_col)

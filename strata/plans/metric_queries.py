@@ -190,7 +190,14 @@ ORDINAL_SQL = "SELECT " + ", ".join(ORDINAL_EXPRS) + " FROM lineitem"
 
 
 def ordinal_predictions(spark, sf_dir):
-    return fx.table(spark, sf_dir, "lineitem").selectExpr(*ORDINAL_EXPRS)
+    # staged: class weights, their total, then the ratios (each expensive
+    # expression is computed once per row instead of being inlined 7 times)
+    li = fx.table(spark, sf_dir, "lineitem")
+    w = li.selectExpr(*ORDINAL_EXPRS[:3], *[f"{_w(k)} AS __w{k}" for k in range(K)])
+    w = w.withColumn("__W", sum((F.col(f"__w{k}") for k in range(1, K)), F.col("__w0")))
+    return w.select(*[F.col(c) for c in ("study_case_id", "grp", "observed_mrs")],
+                    *[(F.col(f"__w{k}").cast("double") / F.col("__W").cast("double")).alias(f"prob_mrs_{k}")
+                      for k in range(K)])
 
 
 def _ordinal_sql() -> str:
