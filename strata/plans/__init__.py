@@ -1,4 +1,4 @@
 """Registered queries (Spark plan + DuckDB oracle per operator)."""
 
-from . import catalog, metric_queries, resample_queries, survival_queries  # noqa: F401  (modules register on import)
+from . import catalog, metric_queries, model_queries, resample_queries, survival_queries  # noqa: F401  (modules register on import)
 from .registry import ORACLE, QUERIES  # noqa: F401

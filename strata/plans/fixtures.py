@@ -32,7 +32,9 @@ _DAYS_DUCK = "datediff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE
 # per-dialect day difference.
 REGISTRY_COLUMNS = (
     ("study_patient_id", "CAST(o_custkey AS STRING)"),
-    ("study_case_id", "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)"),
+    # (order, line) repeats in this data; with part and supplier it is unique
+    ("study_case_id", "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' "
+                      "|| CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)"),
     ("index_year", "CAST(year(o_orderdate) AS INT)"),
     ("age_years", "CAST(18 + l_partkey % 83 AS DOUBLE)"),
     ("sex_at_birth", "CASE WHEN o_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END"),

@@ -181,7 +181,8 @@ def _w(k: int) -> str:
 
 _W = "(" + " + ".join(_w(k) for k in range(K)) + ")"
 ORDINAL_EXPRS = (
-    "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS study_case_id",
+    "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' "
+    "|| CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) AS study_case_id",
     "l_returnflag AS grp",
     "CAST(l_linenumber - 1 AS INT) AS observed_mrs",
     *[f"CAST({_w(k)} AS DOUBLE) / CAST({_W} AS DOUBLE) AS prob_mrs_{k}" for k in range(K)],
