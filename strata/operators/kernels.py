@@ -60,6 +60,8 @@ def bucketize(df: DataFrame, order_col: str, n_buckets: int | None = None,
     over the boundaries runs JVM-side in ``Bucketizer``."""
     if splits is None:
         splits = key_splits(df, order_col, _n_buckets(df, n_buckets))
+    if len(splits) < 3:                      # one bucket (e.g. a single distinct key)
+        return df.withColumn(BUCKET, F.lit(0.0))
     tmp = "__bkey"
     b = Bucketizer(splits=list(splits), inputCol=tmp, outputCol=BUCKET, handleInvalid="keep")
     return b.transform(df.withColumn(tmp, F.col(order_col).cast("double"))).drop(tmp)

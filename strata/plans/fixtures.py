@@ -91,7 +91,7 @@ REGISTRY_COLUMNS = (
     ("death_before_cn3_recovery", "CASE WHEN l_suppkey % 13 = 0 THEN 1 ELSE 0 END"),
     ("death_time_days", "CAST(l_partkey % 400 AS DOUBLE)"),
     ("mrs_90d", "CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE CAST(l_linenumber - 1 AS INT) END"),
-    ("mrs_90d_assessment_day", "CAST(60 + l_suppkey % 60 AS DOUBLE)"),
+    ("mrs_90d_assessment_day", "CAST(60 + l_partkey % 60 AS DOUBLE)"),
 )
 
 # Raw all-text intake stand-in (one row per order) with missing-reason codes,
