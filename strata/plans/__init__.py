@@ -1,4 +1,5 @@
 """Registered queries (Spark plan + DuckDB oracle per operator)."""
 
-from . import catalog, metric_queries, model_queries, resample_queries, survival_queries  # noqa: F401  (modules register on import)
+from . import (catalog, io_queries, metric_queries, model_queries, resample_queries,  # noqa: F401
+               survival_queries)  # modules register their queries on import
 from .registry import ORACLE, QUERIES  # noqa: F401

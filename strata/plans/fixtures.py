@@ -139,8 +139,12 @@ def _exprs(columns, days: str):
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Episode-level stand-in: lineitem joined to its order (shuffle join on
     the order key; both sides grow with the data)."""
-    li = table(spark, sf_dir, "lineitem")
-    od = table(spark, sf_dir, "orders")
+    return registry_from(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+
+
+def registry_from(li: DataFrame, od: DataFrame) -> DataFrame:
+    """Same stand-in from given frames (e.g. a line-item stream joined to
+    the static orders table)."""
     joined = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     return joined.selectExpr(*_exprs(REGISTRY_COLUMNS, _DAYS_SPARK))
 
