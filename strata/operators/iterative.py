@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from .kernels import materialize, prefix_sums
 
 
+MAX_LEVELS = 100
+
+
 class ConvergenceError(RuntimeError):
     pass
 
@@ -68,13 +71,16 @@ def _cox_terms(rows: pd.DataFrame, p: int) -> tuple[float, np.ndarray, np.ndarra
             D2[i, j] = D2[j, i] = getattr(r, f"D2_{i}_{j}")
         S = np.array([getattr(r, f"S_{i}") for i in range(p)])
         phi = np.arange(d) / d
-        c0 = R0 - phi * D0                                   # d values
-        c1 = R1[None, :] - phi[:, None] * D1[None, :]        # d x p
+        c0 = R0 - phi * D0                                   # d Efron denominators
+        # sums over the d tied events reduce to five scalars (no loop over l):
+        # sum c1/c0 = R1 s1 - D1 sp1;  sum c2/c0 = R2 s1 - D2 sp1;
+        # sum c1 c1'/c0^2 = R1R1' s2 - (R1D1' + D1R1') sp2 + D1D1' spp2
+        s1, sp1 = (1 / c0).sum(), (phi / c0).sum()
+        s2, sp2, spp2 = (1 / c0 ** 2).sum(), (phi / c0 ** 2).sum(), (phi ** 2 / c0 ** 2).sum()
         ll += r.SLP - np.log(c0).sum()
-        g += S - (c1 / c0[:, None]).sum(0)
-        for l in range(d):
-            c2 = R2 - phi[l] * D2
-            H += c2 / c0[l] - np.outer(c1[l], c1[l]) / c0[l] ** 2
+        g += S - (R1 * s1 - D1 * sp1)
+        RD = np.outer(R1, D1)
+        H += (R2 * s1 - D2 * sp1) - (np.outer(R1, R1) * s2 - (RD + RD.T) * sp2 + np.outer(D1, D1) * spp2)
     return ll, g, H
 
 
@@ -209,7 +215,10 @@ def fit_ordered_logit(df: DataFrame, label: str, p: int, max_iter: int = 1000,
     """M6: proportional-odds logit by BFGS; every function/gradient
     evaluation is one ``mapInPandas`` pass of per-partition partial sums
     over the checkpointed design (x0..x{p-1}, label)."""
-    classes = sorted(r[0] for r in df.select(label).distinct().collect())   # bounded: ordinal levels
+    levels = df.select(label).distinct().limit(MAX_LEVELS + 1).collect()   # bounded: ordinal levels
+    if len(levels) > MAX_LEVELS:
+        raise ConvergenceError(f"more than {MAX_LEVELS} ordinal levels in {label}")
+    classes = sorted(r[0] for r in levels)
     K = len(classes)
     if K < 2:
         raise ConvergenceError("need at least two observed classes")

@@ -39,15 +39,27 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the session's checkpoint folder, setting a local one only if unset."""
+    """Return the session's checkpoint folder.
+
+    On a cluster it must be a shared folder named by ``spark.checkpoint.dir``
+    (a machine-local folder would not survive a lost executor); only a local
+    master (tests, single-machine runs) gets a scratch folder of our own."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = getattr(spark, "sparkContext", None)
+    if not current and sc is not None:
+        try:
+            current = sc.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - not available on every session type
+            current = None
     if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not current:
+        master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+        if fallback is None and not str(master).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) "
+                               "before running strata operators on a cluster")
         current = fallback or tempfile.mkdtemp(prefix="strata-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None:
+        sc.setCheckpointDir(current)
     return current
 
 
