@@ -160,7 +160,7 @@ def permute_labels(df: DataFrame, key: str, label: str, n_perm: int, seed: int =
     by_key = global_rank(recv, [], "__hk", tiebreak=[key], out="__pos")
     # rows x replicates is inherent to a permutation test; the replicate ids
     # are a bounded per-row fan-out (explode), not a join of two tables
-    reps = F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1)))
+    reps = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_perm - 1).cast("bigint")))
     expanded = base.select(key, label, reps.alias("b"))
     hashed = expanded.withColumn("__h", hash_order(seed, salt, F.col("b"), F.col(key)))
     by_hash = global_rank(hashed, ["b"], "__h", tiebreak=[key], out="__pos")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -22,6 +23,12 @@ def _tag(sf_dir: str) -> str:
     return hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
 
 
+def _run_tag(sf_dir: str) -> str:
+    """A fresh name per streaming run: a stream's sink and checkpoint belong
+    to one run, so a later run never reads an earlier run's output."""
+    return f"{_tag(sf_dir)}_{uuid.uuid4().hex[:12]}"
+
+
 @register("raw_csv_intake", fx.with_ctes(CLEAN_SQL, "raw"))
 def q_raw_csv_intake(spark, sf_dir):
     """S1 + C1-C4: the all-text intake written as CSV and read back with no
@@ -76,7 +83,7 @@ def q_stream_scored_episodes(spark, sf_dir):
     reg = fx.registry_from(s, fx.table(spark, sf_dir, "orders"))
     scored = score.score_c(labels.composite_label(reg)).select(
         "study_case_id", "derived_high_complexity_case", "pcoma_c_score")
-    path = stream.run_to_table(scored, f"scored_{_tag(sf_dir)}")
+    path = stream.run_to_table(scored, f"scored_{_run_tag(sf_dir)}")
     out = spark.read.parquet(path)
     return out.groupBy("derived_high_complexity_case", "pcoma_c_score").agg(F.count(F.lit(1)).alias("n"))
 
@@ -92,5 +99,5 @@ def q_stream_binary_findings(spark, sf_dir):
     s = stream.file_stream(spark, os.path.join(sf_dir, "orders*.parquet"), od)
     raw = s.selectExpr(*fx._exprs(fx.RAW_COLUMNS, fx._DAYS_SPARK))
     path = stream.findings_per_batch(raw, lambda b: clean.binary_findings(b, fx.RAW_BINARY),
-                                     f"binary_findings_{_tag(sf_dir)}")
+                                     f"binary_findings_{_run_tag(sf_dir)}")
     return spark.read.parquet(path)

@@ -295,7 +295,7 @@ def _encoder_sql() -> str:
     cols = [d6(f"({e} - (SELECT m_{n} FROM sc)) / (SELECT CASE WHEN s_{n} > 0 THEN s_{n} ELSE 1.0 END FROM sc)")
             + f" AS {n}" for n, e in feats]
     for cat in ("Ruptured", "Unruptured"):
-        cols.append(f"CASE WHEN coalesce(rupture_status, {mode}) = '{cat}' THEN 1.0 ELSE 0.0 END "
+        cols.append(f"CAST(CASE WHEN coalesce(rupture_status, {mode}) = '{cat}' THEN 1.0 ELSE 0.0 END AS DOUBLE) "
                     f"AS categorical__rupture_status_{cat}")
     return fx.with_ctes(
         f"SELECT study_case_id, {', '.join(cols)} FROM m WHERE NOT (index_year BETWEEN 1995 AND 1998)",

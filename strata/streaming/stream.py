@@ -52,7 +52,7 @@ def findings_per_batch(stream: DataFrame, findings: Callable[[DataFrame], DataFr
 
     def each(batch: DataFrame, batch_id: int) -> None:
         from pyspark.sql import functions as F
-        findings(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        findings(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
 
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", os.path.join(base, "_checkpoint"))
