@@ -159,4 +159,4 @@ ASSESSMENT_WINDOW = (76, 104)
 BOOSTED_C_R = dict(iterations=1000, learning_rate=0.05, depth=6, max_bins=254)
 BOOSTED_LANDMARK = dict(n_estimators=1000, max_depth=6, learning_rate=0.05,
                         subsample=0.8, colsample=0.8)
-ELASTIC_NET = dict(C=100.0, l1_ratio=0.5)
+ELASTIC_NET = dict(C=100.0, l1_ratio=0.5, max_iter=5000)
