@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,9 +50,13 @@ def key_splits(df: DataFrame, order_col: str, n_buckets: int) -> list[float]:
     if n_buckets <= 1:
         return [float("-inf"), float("inf")]
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets))
-    inner = sorted({float(q) for q in qs if q is not None})
-    return [float("-inf"), *inner, float("inf")]
+    qs = [float(q) for q in df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets)) if q is not None]
+    inner = set(qs)
+    # a value returned for two or more quantiles holds more than 1/n_buckets
+    # of the keys: give it a bucket of its own ([v, next float after v))
+    for v in {q for q in qs if qs.count(q) > 1}:
+        inner.add(float(np.nextafter(v, np.inf)))
+    return [float("-inf"), *sorted(inner), float("inf")]
 
 
 def bucketize(df: DataFrame, order_col: str, n_buckets: int | None = None,

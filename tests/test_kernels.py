@@ -73,3 +73,16 @@ def test_cindex(spark, blocks):
                                                               n_blocks=blocks).collect()}
     for g, s in pdf.groupby("g"):
         assert res[g] == pytest.approx(brute_c(s.time.to_numpy(), s.event.to_numpy(), s.risk.to_numpy()), abs=1e-12)
+
+
+def test_hot_key_gets_own_bucket_and_cindex_stays_exact(spark):
+    rng = np.random.default_rng(42)
+    n = 600
+    t = np.where(rng.random(n) < 1 / 3, 5.0, rng.integers(1, 30, n).astype(float))   # one hot time
+    e, r = rng.integers(0, 2, n), rng.integers(0, 40, n) / 4.0
+    pdf = pd.DataFrame({"time": t, "event": e, "risk": r})
+    df = spark.createDataFrame(pdf)
+    splits = kernels.key_splits(df, "time", 8)
+    assert 5.0 in splits and float(np.nextafter(5.0, np.inf)) in splits
+    got = survival.concordance_index(df, [], n_blocks=8).first().c_index
+    assert got == pytest.approx(brute_c(t, e, r), abs=1e-12)
