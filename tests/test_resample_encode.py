@@ -84,3 +84,16 @@ def test_prediction_sets(spark):
     out = uncertainty.prediction_sets(df, 0.2).toPandas()
     assert list(out.include_class_1) == [1, 0, 0] and list(out.include_class_0) == [0, 1, 1]
     assert list(out.prediction_set_size) == [1, 1, 1]
+
+
+def test_permutation_importance_permutes_each_feature(spark):
+    from strata.operators import explain
+    rng = np.random.default_rng(8)
+    n = 400
+    pdf = pd.DataFrame({"key": [f"k{i}" for i in range(n)], "a": rng.normal(size=n), "b": rng.normal(size=n)})
+    pdf["label"] = (pdf.a + 0.1 * rng.normal(size=n) > 0).astype(int)
+    df = spark.createDataFrame(pdf)
+    predict = lambda d: d.withColumn("probability", F.lit(1.0) / (1 + F.exp(-3 * F.col("a"))))
+    out = {r.feature: r.mean_auc_drop for r in explain.permutation_importance(
+        df, predict, ["a", "b"], "label", "key", n_repeats=3).collect()}
+    assert out["a"] > 0.3 and abs(out["b"]) < 1e-12
