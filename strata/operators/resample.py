@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_order
 from ..specs import GLOBAL_SEED, LEARNING_CURVE_FRACTIONS, OUTER_CV_SPLITS
-from .kernels import global_rank
+from .kernels import global_rank, materialize
 
 
 class ResamplingError(RuntimeError):
@@ -183,8 +183,8 @@ def nested_group_subsets(df: DataFrame, group: str, label: str,
     for a single-class subset (the reference skips those)."""
     prof = group_profiles(df, group, label)
     idx = group_index(df, group, seed)
-    g = prof.join(idx, group)
-    n_groups = idx.count()
+    g = materialize(prof.join(idx, group))        # one row per group, read once per fraction
+    n_groups = g.count()
     rows = []
     for f in fractions:
         n_f = max(2, int(math.ceil(float(f) * n_groups)))

@@ -156,14 +156,34 @@ def validate_registry(df: DataFrame, spec: SplitSpec, key: str = "study_case_id"
                                                 "aneurysm_id", "procedure_id"),
                       flag_cols: Sequence[str] = ("index_case_flag",),
                       strict_counts: bool = False) -> DataFrame:
-    """V3-V8 as one findings table (V7 only when ``strict_counts``)."""
-    parts = [check_not_blank(df, id_cols), check_unique_key(df, key),
-             check_flag_domain(df, flag_cols),
-             check_range(df, year_col, spec.development_start_year, spec.temporal_end_year),
-             check_group_overlap(df, group_col, year_col, spec)]
+    """V3-V8 as one findings table: the row-level checks (V3, V5, V6 and,
+    in strict mode, V7) in ONE aggregate pass; the key and entity checks
+    (V4, V8) are one partial-aggregate shuffle each."""
+    ids = [c for c in id_cols if c in df.columns]
+    flags = [c for c in flag_cols if c in df.columns]
+    y = num(df, year_col)
+    dev, tmp = _periods(y, spec)
+    aggs = [F.count(F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "", 1)).alias(f"nb{i}")
+            for i, c in enumerate(ids)]
+    aggs += [F.count(F.when(~F.coalesce(num(df, c).isin(0.0, 1.0), F.lit(False)), 1)).alias(f"fd{i}")
+             for i, c in enumerate(flags)]
+    aggs += [F.count(F.when(y.isNull(), 1)).alias("rm"),
+             F.count(F.when(~y.between(spec.development_start_year, spec.temporal_end_year), 1)).alias("ro"),
+             F.count(F.when(y != F.floor(y), 1)).alias("ri"),
+             F.count(F.lit(1)).alias("total"), F.count(F.when(dev, 1)).alias("development"),
+             F.count(F.when(tmp, 1)).alias("temporal")]
+    row = df.agg(*aggs)
+    checks = [_finding("not_blank", c, F.col(f"nb{i}")) for i, c in enumerate(ids)]
+    checks += [_finding("flag_domain", c, F.col(f"fd{i}")) for i, c in enumerate(flags)]
+    checks += [_finding("range_missing", year_col, F.col("rm")), _finding("range_outside", year_col, F.col("ro")),
+               _finding("range_non_integer", year_col, F.col("ri"))]
     if strict_counts:
-        parts.append(check_expected_counts(df, year_col, spec))
-    return union_findings(*parts)
+        exp = {"total": spec.expected_total_n, "development": spec.expected_development_n,
+               "temporal": spec.expected_temporal_n}
+        checks += [_finding("expected_counts", k, F.col(k) - F.lit(v), (F.col(k) - F.lit(v)) != 0)
+                   for k, v in exp.items() if v is not None]
+    return union_findings(_long(row, checks), check_unique_key(df, key),
+                          check_group_overlap(df, group_col, year_col, spec))
 
 
 def assert_clean(findings: DataFrame) -> None:
