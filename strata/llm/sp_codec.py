@@ -29,6 +29,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,7 +73,7 @@ class CharMap:
 class Model:
     """What encoding needs of a BPE model file."""
 
-    def __init__(self, blob: bytes, memory: int = 1 << 18):
+    def __init__(self, blob: bytes, memory: int = 400_000):
         from sentencepiece import sentencepiece_model_pb2 as pb
         proto = pb.ModelProto()
         proto.ParseFromString(blob)
@@ -84,7 +85,7 @@ class Model:
         self.dummy, self.squeeze = norm.add_dummy_prefix, norm.remove_extra_whitespaces
         self.space = SPACE if norm.escape_whitespaces else " "
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == NORMAL}
-        self.score = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
+        self.cost = {p.piece: -p.score for p in proto.pieces if p.type == NORMAL}
         self.pieces = [p.piece for p in proto.pieces]
         self.kinds = kinds
         self.unk = kinds.index(UNKNOWN)
@@ -153,19 +154,40 @@ class Model:
 
     # -- merging -------------------------------------------------------------
     def _merge(self, seg: str) -> list[str]:
+        """Merge the best-scored neighbours, leftmost on ties, until none is a piece."""
+        if len(seg) > 48:
+            return self._merge_long(seg)
+        get, none = self.cost.get, float("inf")
+        sym = list(seg)
+        cost = [get(a + b, none) for a, b in zip(sym, sym[1:])]
+        while cost:
+            best = min(cost)
+            if best == none:
+                break
+            i = cost.index(best)
+            sym[i] += sym.pop(i + 1)
+            del cost[i]
+            if i < len(cost):
+                cost[i] = get(sym[i] + sym[i + 1], none)
+            if i:
+                cost[i - 1] = get(sym[i - 1] + sym[i], none)
+        return sym
+
+    def _merge_long(self, seg: str) -> list[str]:
+        """The same with a heap, for segments that are long."""
         sym: list[str | None] = list(seg)
         n = len(sym)
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
         heap: list[tuple[float, int, str]] = []
-        score = self.score
+        cost = self.cost
 
         def push(i: int) -> None:
             j = nxt[i]
             if j < n:
                 both = sym[i] + sym[j]
-                s = score.get(both)
-                if s is not None:
-                    heapq.heappush(heap, (-s, i, both))
+                c = cost.get(both)
+                if c is not None:
+                    heapq.heappush(heap, (c, i, both))
 
         for i in range(n - 1):
             push(i)
@@ -186,10 +208,13 @@ class Model:
     def segment(self, seg: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
         """(ids, code points of each) of one segment; a byte piece that is not
         the last of its character counts none."""
+        parts = self._merge(seg)
+        found = tuple(map(self.ids.get, parts))
+        if None not in found:
+            return found, tuple(map(len, parts))
         ids: list[int] = []
         width: list[int] = []
-        for p in self._merge(seg):
-            i = self.ids.get(p)
+        for p, i in zip(parts, found, strict=True):
             if i is not None:
                 ids.append(i)
                 width.append(len(p))
@@ -327,6 +352,17 @@ def _utf8_sizes(text: str) -> np.ndarray:
     return 1 + (cp > 0x7F).astype(np.int64) + (cp > 0x7FF) + (cp > 0xFFFF)
 
 
+_MODELS: dict[bytes, Model] = {}
+
+
+def _model(blob: bytes) -> Model:
+    """One model (and its memory of segments) per Python worker."""
+    if blob not in _MODELS:
+        _MODELS.clear()
+        _MODELS[blob] = Model(blob)
+    return _MODELS[blob]
+
+
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                      carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: (id, *carry, ids array<int>, span_start, span_end
@@ -340,7 +376,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
                      "ids array<int>, span_start array<int>, span_end array<int>, decoded string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(blob)
+        model = _model(blob)
         for whole in batches:
             for b in _slices(whole, "__text"):
                 got = [model.encode(t) for t in b.column("__text").to_pylist()]
@@ -360,7 +396,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 def _slices(batch: pa.RecordBatch, col: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of each part are about ``most`` bytes."""
-    size = np.array([x or 0 for x in pa.compute.binary_length(batch.column(col)).to_pylist()], np.int64) \
+    size = np.array([x or 0 for x in pc.binary_length(batch.column(col)).to_pylist()], np.int64) \
         if batch.num_rows else np.zeros(0, np.int64)
     part = np.cumsum(size) // most
     at = 0
