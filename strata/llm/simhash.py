@@ -59,18 +59,18 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     return int(bits.view("<i8")[0])
 
 
-def simhash_fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
-                         text_col: str = "text") -> DataFrame:
-    """(id, fp bigint), one row per input row."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+def simhash_fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                         carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, *carry, fp bigint), one row per input row."""
+    keep = [id_col, *carry]
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=[id_col, "fp"])
+            fps = [fingerprint(t, shingle) for t in b.column("__t").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(fps, pa.int64())], names=[*keep, "fp"])
 
-    return (docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("t"))
-            .mapInArrow(run, f"`{id_col}` {id_type}, fp bigint"))
+    return docs.select(*keep, F.col(text_col).cast("binary").alias("__t")).mapInArrow(run, f"{kinds}, fp bigint")
 
 
 def _balls(radius: int, segments: int) -> list[int]:
@@ -111,13 +111,13 @@ def simhash_links(fingerprints: DataFrame, max_bits: int = 2, segments: int = 4)
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, segments: int = 4,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp bigint, component_id): component_id is the smallest id reachable
+                       id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, *carry, fp bigint, component_id): component_id is the smallest id reachable
     over links, the row's own included."""
-    fps = stage(simhash_fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    fps = stage(simhash_fingerprints(docs, shingle, id_col, text_col, carry), "fingerprints")
     distinct = stage(fps.groupBy("fp").agg(F.min(id_key(F.col(id_col))).alias("node")), "distinct")
     links = simhash_links(distinct, max_bits, segments).select("src", "dst")
     comp = connected_components(links)                         # (node, component) of linked nodes
     classes = (distinct.join(comp, "node", "left")
                .select("fp", F.coalesce("component", "node").alias("__c")))
-    return fps.join(classes, "fp").select(F.col(id_col), "fp", id_back(F.col("__c")).alias("component_id"))
+    return fps.join(classes, "fp").select(F.col(id_col), *carry, "fp", id_back(F.col("__c")).alias("component_id"))
