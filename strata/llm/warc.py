@@ -71,9 +71,7 @@ def warc_records(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
     groups = light.groupBy("sha").agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("of"))
     revisits = (light.join(groups.filter("of > 1"), "sha").filter("id < last")
                 .select("id", "sha", "last").distinct())
-    rows = (rows.withColumn("sha", sha).join(revisits.withColumnRenamed("sha", "of_sha"),
-                                             (F.col("sha") == F.col("of_sha")) & (rows["id"] == revisits["id"]), "left")
-            .drop(revisits["id"]))
+    rows = rows.withColumn("sha", sha).join(revisits, ["id", "sha"], "left")
     is_revisit = F.col("last").isNotNull()
     page = F.when(F.col("id") != LEAST_ID, F.col("id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
