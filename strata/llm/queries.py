@@ -154,7 +154,7 @@ WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 g AS (SELECT h, max(page_id) AS last FROM p GROUP BY h)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     CAST(1 + ((('0x' || substr(h, CAST(1 + 10 * (i // 8) AS INT), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) AS INT), 1)), '')
     AS payload_digest,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
