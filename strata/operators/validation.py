@@ -79,8 +79,10 @@ def bootstrap_optimism(df: DataFrame, spec: ModelSpec, estimator: EstimatorFacto
         orig_auc = auc_ap(_p1(m.transform(enc)), [], "label", "probability").first().roc_auc
         return rep, boot_auc - orig_auc, orig_auc
 
+    # redrawn single-class replicates leave gaps in the ids
+    valid = sorted(r.rep for r in weights.select("rep").distinct().collect())
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        res = list(pool.map(one, range(n_boot)))
+        res = list(pool.map(one, valid))
     spark = df.sparkSession
     reps = spark.createDataFrame([(r, float(o), float(t)) for r, o, t in res], "rep long, optimism double, test_auc double")
     return reps.agg(F.count(F.lit(1)).alias("replicates"), F.lit(float(apparent)).alias("apparent_auc"),
@@ -179,7 +181,8 @@ def nested_cv(df: DataFrame, spec: ModelSpec, estimator: EstimatorFactory, grid:
         for name, values in grid.items():
             pg = pg.addGrid(est.getParam(name), list(values))
         cv = CrossValidator(estimator=est, estimatorParamMaps=pg.build(), foldCol="inner", numFolds=inner_k,
-                            evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
+                            evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC",
+                                                                  numBins=0),
                             parallelism=parallelism, seed=seed)
         cvm = cv.fit(tr)
         best = cvm.bestModel
