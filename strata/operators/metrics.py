@@ -31,11 +31,23 @@ def _w(weight: str | None) -> Column:
     return F.col(weight) if weight else F.lit(1).cast("bigint")
 
 
+def checked_score(score: str, label: str | None = None) -> Column:
+    """The score as a double; raises at run time on a null or NaN score or,
+    where a label is given, on one that is not 0 or 1."""
+    s = F.col(score).cast("double")
+    ok = s.isNotNull() & ~F.isnan(s)
+    if label is not None:
+        ok = ok & F.coalesce(F.col(label).cast("double").isin(0.0, 1.0), F.lit(False))
+    return F.when(ok, s).otherwise(F.raise_error(F.lit(f"{score}: a null or NaN score, or a label outside its domain")).cast("double"))
+
+
 def score_histogram(df: DataFrame, by: Sequence[str], label: str, score: str,
                     weight: str | None = None) -> DataFrame:
-    """(by..., score) -> pos, neg (weighted counts)."""
+    """(by..., score) -> pos, neg (weighted counts).  A null or NaN score, or a
+    label other than 0 and 1, has no rank: the job fails instead of leaving
+    the row out of some counts and not of others."""
     w, y = _w(weight), F.col(label)
-    return (df.groupBy(*by, F.col(score).cast("double").alias("score"))
+    return (df.groupBy(*by, checked_score(score, label).alias("score"))
             .agg(F.sum(F.when(y == 1, w).otherwise(0)).alias("pos"),
                  F.sum(F.when(y == 0, w).otherwise(0)).alias("neg")))
 
@@ -147,15 +159,17 @@ def binary_metric_bundle(df: DataFrame, by: Sequence[str], label: str, score: st
 
 def roc_points(df: DataFrame, by: Sequence[str], label: str, score: str,
                weight: str | None = None) -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score (predicted = score >= t)."""
+    """(threshold, fpr, tpr) at every distinct score (predicted = score >= t),
+    and the origin, at a null threshold (nothing is predicted)."""
     by = list(by)
     hist = materialize(score_histogram(df, by, label, score, weight))
     cum = prefix_sums(hist, by, "score", ["pos", "neg"], prefix="lt_", materialized=True)
     tot = class_totals(hist, by)
     j = attach(cum, tot, by)
+    origin = tot.select(*by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return j.select(*by, F.col("score").alias("threshold"),
                     _ratio(F.col("N") - F.col("lt_neg"), F.col("N")).alias("fpr"),
-                    _ratio(F.col("P") - F.col("lt_pos"), F.col("P")).alias("tpr"))
+                    _ratio(F.col("P") - F.col("lt_pos"), F.col("P")).alias("tpr")).unionByName(origin)
 
 
 def calibration_curve(df: DataFrame, by: Sequence[str], label: str, score: str,
@@ -244,16 +258,15 @@ def ordinal_concordance(df: DataFrame, by: Sequence[str], label: str, score: str
         *[F.sum(F.when(y == k, 1).otherwise(0)).alias(f"n{k}") for k in range(n_classes)])
     cols = [f"n{k}" for k in range(n_classes)]
     cum = prefix_sums(hist, by, "score", cols, prefix="lt_")  # materializes the histogram
-    conc, disc, ties = F.lit(0), F.lit(0), F.lit(0)
+    # doubles before multiplying: a product of two counts need not fit a bigint
+    conc, ties = F.lit(0.0), F.lit(0.0)
     for b in range(n_classes):
-        lower = sum((F.col(f"lt_n{a}") for a in range(b)), F.lit(0))
-        higher = sum((F.col(f"lt_n{a}") for a in range(b + 1, n_classes)), F.lit(0))
-        conc = conc + F.col(f"n{b}") * lower
-        disc = disc + F.col(f"n{b}") * higher
+        lower = sum((F.col(f"lt_n{a}").cast("double") for a in range(b)), F.lit(0.0))
+        conc = conc + F.col(f"n{b}").cast("double") * lower
         for a in range(b):
-            ties = ties + F.col(f"n{a}") * F.col(f"n{b}")
-    per = cum.groupBy(*by).agg(F.sum(conc.cast("double")).alias("__c"),
-                               F.sum(ties.cast("double")).alias("__t"),
+            ties = ties + F.col(f"n{a}").cast("double") * F.col(f"n{b}").cast("double")
+    per = cum.groupBy(*by).agg(F.sum(conc).alias("__c"),
+                               F.sum(ties).alias("__t"),
                                *[F.sum(c).alias(f"N{k}") for k, c in enumerate(cols)])
     comparable = F.lit(0.0)
     for b in range(n_classes):

@@ -127,7 +127,8 @@ def q_youden(spark, sf_dir):
 
 @register("roc_points", f"WITH {PREDS_SQL_CTE},\n{RANK_CTES}\n"
                         f"SELECT split, {d6('score')} AS threshold, {d6('(N - lt_neg) / N')} AS fpr, "
-                        f"{d6('(P - lt_pos) / P')} AS tpr FROM cum JOIN tot USING (split)")
+                        f"{d6('(P - lt_pos) / P')} AS tpr FROM cum JOIN tot USING (split) "
+                        "UNION ALL SELECT split, CAST(NULL AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE) FROM tot")
 def q_roc_points(spark, sf_dir):
     """R10."""
     return round_doubles(metrics.roc_points(_preds(spark, sf_dir), ["split"], "observed", "probability"))

@@ -42,6 +42,20 @@ def test_hand_values(spark):
     assert r.pr_auc == pytest.approx(0.755556, abs=1e-6)
 
 
+@pytest.mark.parametrize("bad", [(None, 1), (float("nan"), 0), (0.4, None), (0.4, 2)])
+def test_unrankable_rows_fail(spark, bad):
+    rows = [(.9, 1), (.8, 0), (.8, 1), (.6, 0), (.5, 1), (.2, 0), bad]
+    df = spark.createDataFrame(rows, "p double, y int")
+    for metric in (metrics.auc_ap, metrics.youden_threshold, metrics.roc_points, metrics.decision_curve):
+        with pytest.raises(Exception, match="null or NaN score"):
+            metric(df, [], "y", "p").collect()
+
+
+def test_roc_has_its_origin(spark):
+    df = spark.createDataFrame([(.9, 1), (.8, 0)], "p double, y int")
+    assert (None, 0.0, 0.0) in {tuple(r) for r in metrics.roc_points(df, [], "y", "p").collect()}
+
+
 @pytest.mark.parametrize("parts", [1, 4, 17])
 def test_random_against_brute_force(spark, parts):
     rng = np.random.default_rng(parts)
