@@ -118,17 +118,29 @@ def global_rank(df: DataFrame, by: Sequence[str], order_col: str, tiebreak: Sequ
 def value_at_ranks(hist: DataFrame, by: Sequence[str], value_col: str, count_col: str,
                    targets: DataFrame, rank_col: str = "target_rank") -> DataFrame:
     """Order statistics: ``hist`` (materialized) has one row per distinct
-    value with its count; ``targets`` (small: by + rank) asks for 0-based
-    ranks.  Returns targets joined with the value covering each rank."""
-    cum = prefix_sums(hist, by, value_col, [count_col], prefix="__lt_", materialized=True)
-    cum = cum.select(*[F.col(c).alias(f"__k_{c}") for c in by], F.col(value_col).alias("value"),
-                     F.col(f"__lt_{count_col}").alias("__lo"), F.col(count_col).alias("__c"))
-    cond = [*(F.col(c) == F.col(f"__k_{c}") for c in by),
-            F.col(rank_col) >= F.col("__lo"), F.col(rank_col) < F.col("__lo") + F.col("__c")]
-    # equi-join on ``by`` plus a range filter; the target table holds
-    # (groups x requested ranks) rows, so it is broadcast
-    joined = F.broadcast(targets).join(cum, cond, "inner")
-    return joined.select(*targets.columns, "value")
+    value with its count; ``targets`` (by + rank) asks for 0-based ranks.
+    Returns targets joined with the value covering each rank.
+
+    Totals per (group, bucket) give the rows ahead of each bucket; a target
+    picks the one bucket that covers it, and only those buckets are ordered."""
+    by = list(by)
+    keys = [f"__k_{c}" for c in by]
+    b = bucketize(hist, value_col).withColumnsRenamed(dict(zip(by, keys, strict=True)))
+    part = keys or [F.lit(0)]
+    totals = b.groupBy(*keys, BUCKET).agg(F.sum(count_col).alias("__t"))      # buckets per group: a bounded number
+    ahead = Window.partitionBy(*part).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("__ahead", F.coalesce(F.sum("__t").over(ahead), F.lit(0)))
+    same = [F.col(c) == F.col(k) for c, k in zip(by, keys, strict=True)] or [F.lit(True)]
+    covers = [F.col(rank_col) >= F.col("__ahead"), F.col(rank_col) < F.col("__ahead") + F.col("__t")]
+    # equi-join on ``by``; without it both sides are tables of a bounded number of rows
+    wanted = materialize(targets.join(totals, [*same, *covers]).select(*targets.columns, *keys, BUCKET, "__ahead"))
+    needed = wanted.select(*keys, BUCKET).distinct()
+    w = Window.partitionBy(*keys, BUCKET).orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+    cum = (b.join(needed, [*keys, BUCKET]).select(*keys, BUCKET, F.col(value_col).alias("value"), F.col(count_col).alias("__c"),
+                                                   F.coalesce(F.sum(count_col).over(w), F.lit(0)).alias("__lo")))
+    inside = F.col(rank_col) - F.col("__ahead")
+    return (wanted.join(cum, [*keys, BUCKET]).filter((inside >= F.col("__lo")) & (inside < F.col("__lo") + F.col("__c")))
+            .select(*targets.columns, "value"))
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float]) -> DataFrame:

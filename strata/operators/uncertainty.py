@@ -53,7 +53,11 @@ def prediction_sets(df: DataFrame, qhat: DataFrame | float, prob: str = "probabi
     if isinstance(qhat, (int, float)):
         rows = df.withColumn("__q", F.lit(float(qhat)))
     else:
-        rows = attach(df, qhat.select(*by, F.col("qhat").alias("__q")), by)
+        q = qhat.select(*by, F.col("qhat").alias("__q"))
+        if not by:
+            # one row whatever came in: an aggregate, so the planner knows the side's size
+            q = q.agg(F.max("__q").alias("__q"))
+        rows = attach(df, q, by)
     p1 = F.col(prob).cast("double")
     p0 = F.lit(1.0) - p1
     inc0 = (F.lit(1.0) - p0) <= F.col("__q")
