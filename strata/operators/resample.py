@@ -11,12 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_order
 from ..specs import GLOBAL_SEED, LEARNING_CURVE_FRACTIONS, OUTER_CV_SPLITS
-from .kernels import global_rank, materialize
+from .kernels import global_rank, materialize, prefix_sums
 
 
 class ResamplingError(RuntimeError):
@@ -45,9 +45,9 @@ def stratified_group_folds(df: DataFrame, group: str, label: str, k: int = OUTER
     g = group_profiles(df, group, label).withColumn("__h", hash_order(seed, "fold", F.col(group)))
     ranked = global_rank(g, ["n_pos", "n_neg"], "__h", tiebreak=[group], out="__r")
     prof = g.groupBy("n_pos", "n_neg").agg(F.count(F.lit(1)).alias("__cnt"))
-    # profiles are few (distinct group compositions); a window over that small table
-    w = Window.partitionBy(F.lit(0)).orderBy("n_pos", "n_neg").rowsBetween(Window.unboundedPreceding, -1)
-    offs = prof.select("n_pos", "n_neg", F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
+    # with long-tailed groups there are nearly as many profiles as groups: X1, not one window
+    offs = (prefix_sums(prof, [], "n_pos", ["__cnt"], prefix="__before", tiebreak=["n_neg"])
+            .select("n_pos", "n_neg", F.col("__before__cnt").alias("__off")))
     return (ranked.join(offs, ["n_pos", "n_neg"])
             .select(F.col(group), ((F.col("__r") + F.col("__off")) % k).cast("int").alias(out)))
 
