@@ -129,11 +129,11 @@ def eligible_rows(df: DataFrame, eligibility_column: str | None, target: str | N
     cond = F.lit(True)
     if eligibility_column:
         if eligibility_column not in df.columns:
-            raise KeyError(f"Missing eligibility column: {eligibility_column}")
+            raise KeyError(f"no column {eligibility_column!r} to take eligibility from")
         cond = cond & F.coalesce(num(df, eligibility_column) == 1.0, F.lit(False))
     if target:
         if target not in df.columns:
-            raise KeyError(f"Missing target column: {target}")
+            raise KeyError(f"no column {target!r} to take the label from")
         cond = cond & F.col(target).isNotNull()
     return df.filter(cond)
 
@@ -142,7 +142,7 @@ def select_features(df: DataFrame, keys: Sequence[str], features: Sequence[str])
     """Ordered projection; an absent feature is an error."""
     missing = [f for f in features if f not in df.columns]
     if missing:
-        raise KeyError(f"Missing required features: {missing}")
+        raise KeyError(f"the model reads {missing}, which the table lacks")
     keep = [k for k in keys if k in df.columns and k not in features]
     return df.select(*keep, *features)
 
@@ -150,7 +150,7 @@ def select_features(df: DataFrame, keys: Sequence[str], features: Sequence[str])
 def group_findings(df: DataFrame, group_col: str) -> DataFrame:
     """Group key null or blank."""
     if group_col not in df.columns:
-        raise KeyError(f"{group_col} is required for grouped resampling")
+        raise KeyError(f"no column {group_col!r} to group rows by")
     bad = F.col(group_col).isNull() | (F.trim(F.col(group_col).cast("string")) == "")
     return df.agg(F.count(F.when(bad, 1)).cast("bigint").alias("n")).select(
         F.lit("group_key").alias("finding"),
@@ -161,7 +161,7 @@ def group_findings(df: DataFrame, group_col: str) -> DataFrame:
 def require_groups(df: DataFrame, group_col: str) -> None:
     n = group_findings(df, group_col).first().n
     if n:
-        raise CleaningError(f"{group_col} contains {n} missing or empty values")
+        raise CleaningError(f"{n} rows have no value in {group_col!r}")
 
 
 def logit(df: DataFrame, col: str, out: str | None = None) -> DataFrame:

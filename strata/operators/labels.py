@@ -43,7 +43,7 @@ def require_sources(df: DataFrame, cols: Sequence[str], endpoint: str) -> None:
     """Absent source columns are an error (never defaulted to zero)."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise EndpointDefinitionError(f"{endpoint} requires source columns {missing}")
+        raise EndpointDefinitionError(f"{endpoint}: its sources {missing} are not in the table")
 
 
 def _bin_bad(df: DataFrame, c: str, allow_missing: bool) -> Column:

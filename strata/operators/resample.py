@@ -89,7 +89,7 @@ def oof_findings(oof: DataFrame, eligible: DataFrame, key: str) -> DataFrame:
 def assert_oof_complete(oof: DataFrame, eligible: DataFrame, key: str) -> None:
     bad = [r for r in oof_findings(oof, eligible, key).collect() if r.n]
     if bad:
-        raise ResamplingError(f"OOF predictions are incomplete: {bad}")
+        raise ResamplingError(f"rows without exactly one held-out prediction: {bad}")
 
 
 def group_index(df: DataFrame, group: str, seed: int = GLOBAL_SEED) -> DataFrame:
@@ -141,7 +141,7 @@ def cluster_bootstrap(df: DataFrame, group: str, label: str, n_boot: int, seed:
         valid_reps.extend(ok[: n_boot - len(valid_reps)])
         start = batch[-1] + 1
     if len(valid_reps) < n_boot:
-        raise ResamplingError("unable to obtain the requested valid bootstrap replicates")
+        raise ResamplingError(f"{len(valid_reps)} of {n_boot} replicates hold both classes after {start} attempts")
     draws = bootstrap_draws(spark, n_groups, valid_reps, seed)
     return draws.join(gidx, "group_idx").select("rep", group, "weight")
 

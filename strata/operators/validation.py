@@ -57,10 +57,10 @@ def bootstrap_optimism(df: DataFrame, spec: ModelSpec, estimator: EstimatorFacto
     """U5 (refit mode): apparent AUC - mean(bootstrap AUC - AUC of the
     bootstrap model on the original rows); SE of the latter (ddof 1).
 
-    The encoder is fitted once on all rows (as the reference's fit_predict
-    does per replicate on the drawn rows; with weights the drawn rows are
-    the same rows) and the encoded table is checkpointed; each replicate is
-    a weighted fit on it."""
+    The encoder is fitted once on all rows and the encoded table is
+    checkpointed; each replicate is a weighted fit on it.  So a replicate's
+    medians, modes and levels also come from rows it did not draw (open:
+    statistics weighted by replicate)."""
     rows = model_rows(df, spec, key, group)
     _, enc = _encoded(rows, spec, False, [key, group, "label"])
     enc = materialize(enc)
