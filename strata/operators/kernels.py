@@ -136,7 +136,7 @@ def value_at_ranks(hist: DataFrame, by: Sequence[str], value_col: str, count_col
     wanted = materialize(targets.join(totals, [*same, *covers]).select(*targets.columns, *keys, BUCKET, "__ahead"))
     needed = wanted.select(*keys, BUCKET).distinct()
     w = Window.partitionBy(*keys, BUCKET).orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
-    cum = (b.join(needed, [*keys, BUCKET]).select(*keys, BUCKET, F.col(value_col).alias("value"), F.col(count_col).alias("__c"),
+    cum = (b.join(needed, [*keys, BUCKET], "left_semi").select(*keys, BUCKET, F.col(value_col).alias("value"), F.col(count_col).alias("__c"),
                                                    F.coalesce(F.sum(count_col).over(w), F.lit(0)).alias("__lo")))
     inside = F.col(rank_col) - F.col("__ahead")
     return (wanted.join(cum, [*keys, BUCKET]).filter((inside >= F.col("__lo")) & (inside < F.col("__lo") + F.col("__c")))
