@@ -14,8 +14,9 @@ each; the likeness of two fingerprints estimates the share of common anchors
 no more anchors than that.
 
 Defined results: null and empty texts (no symbols) have the empty fingerprint;
-two empty fingerprints have likeness 1, one empty and one not 0; fewer symbols
-than K: the whole sequence is the one anchor; equal texts have equal
+two empty fingerprints have likeness 1, one empty and one not 0; a text with
+symbols but no anchor (fewer symbols than K, or 5 or 6 without a closed
+syncmer): the whole sequence is the one anchor; equal texts have equal
 fingerprints.  ``next_document`` orders by id (null first), then by text hash
 for repeated ids; the last row's next is the first, a single row is its own.
 """
@@ -85,11 +86,11 @@ def with_anchors(df: DataFrame, text, name: str, k: int = K, s: int = S) -> Data
 def _sketch(df: DataFrame, text, name: str, k: int, s: int, sketch: int) -> DataFrame:
     """Add ``name``: the sorted smallest distinct anchor hashes (32 bits)."""
     df, c, anchors = with_anchors(df, text, name, k, s)
-    w = F.col(c["w"])
-    whole = F.when(F.size(w) > 0, F.array(F.aggregate(w, F.size(w).cast("bigint"), lambda a, x: F.xxhash64(a, x))))
-    hashes = F.when(F.size(w) >= k, anchors).otherwise(F.coalesce(whole, F.array().cast("array<bigint>")))
-    low = F.transform(hashes, lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF)))
+    low = F.transform(anchors, lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF)))
     df = df.withColumn(name, F.slice(F.array_sort(F.array_distinct(low)), 1, sketch))
+    w = F.col(c["w"])
+    whole = F.aggregate(w, F.size(w).cast("bigint"), lambda a, x: F.xxhash64(a, x)).bitwiseAND(F.lit(0xFFFFFFFF))
+    df = df.withColumn(name, F.when((F.size(name) == 0) & (F.size(w) > 0), F.array(whole)).otherwise(F.col(name)))
     return df.drop(*c.values())
 
 

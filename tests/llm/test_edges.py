@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from strata.llm import queries as q
+from strata.llm.syncmers import fingerprints
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, m string, fp bigint, component string"
 LONG = " ".join(f"w{i % 977} x{i}" for i in range(30_000))
@@ -72,3 +73,12 @@ def test_stages(spark, odd, none):
     one = corpus_pipeline.near_dedup(spark, spark.read.parquet(f"{odd}/documents.parquet"), odd)
     kept = [(r.doc_id, r.text) for r in one.collect()]
     assert kept.count((5, LONG)) == 1 and (6, LONG) not in kept
+
+
+def test_short_texts_have_own_fingerprints(spark):
+    """5 or 6 symbols without a closed syncmer: the whole sequence is the anchor."""
+    texts = [" ".join(f"a{i}n{n}x{j}" for j in range(n)) for n in (1, 4, 5, 6) for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, " "])], "doc_id bigint, text string")
+    got = {r.doc_id: tuple(r.sketch) for r in fingerprints(docs).collect()}
+    assert got.pop(len(texts)) == got.pop(len(texts) + 1) == ()
+    assert () not in got.values() and len(set(got.values())) == len(texts)
