@@ -9,8 +9,9 @@ lets a reader prune files on any of them.
 
 Laws: ``rows`` (counts at most one apart) and ``bytes`` (runs cut at equal sums
 of sizes).  Ties on the curve are ordered by text hash, then by id, so equal
-texts with equal metadata stand together.  The order key ends in the id, so a
-group of any size is spread over many sort partitions.
+texts with equal metadata stand together.  The order key ends in a number of
+its own for each row, so a group of any size, also of repeats of one row, is
+spread over many sort partitions.
 
 Defined results: nulls are the smallest value of a dimension; a null text has
 size 1 and the checksum of the empty text; repeated rows keep a row each; fewer
@@ -27,6 +28,7 @@ from .common import stage
 from .syncmers import _bucket
 
 BITS = 6
+ROW = "__row"
 
 
 def order_number(col, kind: str) -> F.Column:
@@ -107,16 +109,23 @@ def hilbert_shards(docs: DataFrame, n_shards: int, dims: tuple[str, ...] = ("lan
                    law: str = "rows", bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, size, text_crc32, curve, law, shard, slot) for every row: ``curve``
     is the cell's index, ``slot`` the place in the shard, from 0 without gaps."""
+    return _placed(docs.withColumn(ROW, F.monotonically_increasing_id()), n_shards, dims, law, bits, id_col,
+                   text_col).drop(ROW)
+
+
+def _placed(docs: DataFrame, n_shards: int, dims: tuple[str, ...], law: str, bits: int, id_col: str,
+            text_col: str) -> DataFrame:
+    """:func:`hilbert_shards` of rows numbered in ``ROW``, which is kept."""
     if law not in ("rows", "bytes"):
         raise ValueError("law is 'rows' or 'bytes'")
     text = F.coalesce(F.col(text_col), F.lit(""))
     kinds = {c: docs.schema[c].dataType.simpleString() for c in dims}
-    small = quantised(docs.select(id_col, *[c for c in dims if c != id_col], text_col), kinds, bits)
+    small = quantised(docs.select(ROW, id_col, *[c for c in dims if c != id_col], text_col), kinds, bits)
     small = small.select(
-        F.col(id_col), F.octet_length(text).cast("bigint").alias("bytes"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        ROW, F.col(id_col), F.octet_length(text).cast("bigint").alias("bytes"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("th"), hilbert_index([F.col(f"__cell_{i}") for i in range(len(dims))], bits).alias("curve"))
     small = small.withColumn("size", F.col("bytes") + 1).drop("bytes")
-    order = ["curve", "th", id_col]
+    order = ["curve", "th", id_col, ROW]
     # metadata only: ranges of the whole order key, numbered and kept, so numbers can't change on a retry
     parts = stage(small.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "curve")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -143,17 +152,17 @@ def hilbert_shards(docs: DataFrame, n_shards: int, dims: tuple[str, ...] = ("lan
         ranked = ranked.withColumn("shard", F.least(F.floor(mid * n_shards / max(size, 1)), F.lit(n_shards - 1)).cast("int"))
         firsts = ranked.groupBy("shard").agg(F.min("rank").alias("first"))
         out = ranked.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("rank") - F.col("first"))
-    return out.select(id_col, "size", "text_crc32", "curve", F.lit(law).alias("law"), "shard", "slot")
+    return out.select(ROW, id_col, "size", "text_crc32", "curve", F.lit(law).alias("law"), "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int, dims: tuple[str, ...] = ("lang", "source", "n_chars"),
                  bits: int = BITS, **options) -> None:
     """Write ``docs`` as one folder per shard, each file in curve order (so row
-    groups prune too)."""
-    id_col = options.get("id_col", "doc_id")
-    placed = hilbert_shards(docs, n_shards, dims, bits=bits, **options).select(id_col, "shard", "slot", "text_crc32")
-    text = F.coalesce(F.col(options.get("text_col", "text")), F.lit(""))
-    keyed = docs.withColumn("text_crc32", F.crc32(text.cast("binary")))
-    (keyed.join(placed.dropDuplicates([id_col, "text_crc32"]), [id_col, "text_crc32"]).drop("text_crc32")
+    groups prune too).  Rows are matched to their places by a number of their
+    own, so null ids and repeated rows are written like any other."""
+    docs = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")   # kept: same numbers in both uses
+    settings = {"law": "rows", "id_col": "doc_id", "text_col": "text"} | options
+    placed = _placed(docs, n_shards, dims, bits=bits, **settings).select(ROW, "shard", "slot")
+    (docs.join(placed, ROW).drop(ROW)
      .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("slot")
      .write.partitionBy("shard").parquet(path))

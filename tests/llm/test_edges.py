@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from strata.llm import queries as q
+from strata.llm.hilbert import write_shards
 from strata.llm.syncmers import fingerprints
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, m string, fp bigint, component string"
@@ -82,3 +83,15 @@ def test_short_texts_have_own_fingerprints(spark):
     got = {r.doc_id: tuple(r.sketch) for r in fingerprints(docs).collect()}
     assert got.pop(len(texts)) == got.pop(len(texts) + 1) == ()
     assert () not in got.values() and len(set(got.values())) == len(texts)
+
+
+def test_written_shards(spark, tmp_path):
+    """Every row, null ids and repeats too, is in the files, dealt by law ``rows``."""
+    rows = [(None, "a"), (None, "b"), (None, None), *[(7, "again")] * 30, *[(i, f"t{i}") for i in range(60)]]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars int")
+    write_shards(docs, str(tmp_path / "out"), 8)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, back.select("doc_id", "text").collect())) == sorted(map(str, docs.select("doc_id", "text").collect()))
+    counts = {r.shard: r["count"] for r in back.groupBy("shard").count().collect()}
+    assert len(counts) == 8 and max(counts.values()) - min(counts.values()) <= 1
