@@ -7,11 +7,15 @@ entry, ``tests/llm`` checks the query against a brute-force version.
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .chat_format import chat_windows, read_loss, read_turns
-from .common import table
+from .common import key_of, stage, table
 from .decontaminate import contaminated
 from .hilbert import hilbert_shards
 from .quality import QualityModel, fit_quality, score_documents
@@ -27,6 +31,7 @@ N_SHARDS = 8
 MIN_WORDS = 50
 SHINGLE, MAX_BITS = 3, 2
 ACCEPT = 0.7
+LONG_CONVERSATION = 32_000_000       # bytes; longer ones are digested as a stream, not in one row
 EXTRA_CONVERSATION = "</s>[INST] ok [/INST]"
 
 
@@ -51,13 +56,29 @@ def op2_chat_formatting(spark, sf_dir: str) -> DataFrame:
     names = ["conv_id", "turn", "role", "text"]
     kinds = {c: conv.schema[c].dataType for c in names}
     rows = conv.select(names).unionByName(extra.select([F.col(c).cast(kinds[c]) for c in names]))
+    ck = key_of("ck", F.col("conv_id"))
+    size = sum(F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in ("role", "text")) + 2
+    long = rows.groupBy(ck).agg(F.sum(size).alias("b")).filter(F.col("b") > LONG_CONVERSATION).select("ck")
+    if long.isEmpty():
+        return _chat_digests(_chat_read(rows))
+    long = F.broadcast(stage(long, "long"))              # at most one in LONG_CONVERSATION bytes of the table
+    keyed = rows.withColumn("ck", ck)
+    return _chat_digests(_chat_read(keyed.join(long, "ck", "left_anti"))).unionByName(
+        _chat_digests_streamed(_chat_read(keyed.join(long, "ck", "left_semi"))))
+
+
+def _chat_read(rows: DataFrame) -> DataFrame:
+    """What the windows of ``rows`` give back, a row each."""
     windows = chat_windows(rows)
     own = read_turns(F.col("formatted"), F.col("n_context"))
-    read = windows.select(
+    return windows.select(
         "ck", "conv_id", "block", "span", F.size(own).cast("bigint").alias("n"),
         F.concat_ws("", F.transform(own, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))).alias("turns"),
         read_loss(F.col("formatted"), F.col("loss")).alias("target"),
         F.char_length("formatted").cast("bigint").alias("chars"))
+
+
+def _chat_digests(read: DataFrame) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct("block", "span", "turns", "target")))
     whole = read.groupBy("ck").agg(F.max("conv_id").alias("conv_id"), F.sum("n").alias("n_turns"), parts.alias("p"),
                                    F.sum("chars").alias("formatted_chars"))
@@ -67,6 +88,42 @@ def op2_chat_formatting(spark, sf_dir: str) -> DataFrame:
         F.char_length(target).cast("bigint").alias("loss_chars"), _hex(target).alias("loss_sha256"), "formatted_chars")
 
 
+def _chat_digests_streamed(read: DataFrame) -> DataFrame:
+    """:func:`_chat_digests` with a running digest per conversation, for those
+    that are too long for one row; a task holds one window batch at a time."""
+    def run(batches):
+        key, state = None, None
+
+        def done():
+            conv_id, n, turns, chars, loss, formatted = state
+            return pa.RecordBatch.from_pydict({
+                "conv_id": [conv_id], "n_turns": [n], "turns_sha256": [turns.hexdigest()], "loss_chars": [chars],
+                "loss_sha256": [loss.hexdigest()], "formatted_chars": [formatted]}, schema=schema)
+
+        for batch in batches:
+            for ck, conv_id, n, turns, target, loss_chars, chars in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if ck != key:
+                    if state:
+                        yield done()
+                    key, state = ck, [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                state[1] += n
+                state[2].update(turns)
+                state[3] += loss_chars
+                state[4].update(target)
+                state[5] += chars
+        if state:
+            yield done()
+
+    kind = read.schema["conv_id"].dataType
+    schema = pa.schema([("conv_id", to_arrow_type(kind)), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
+                        ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+    rows = read.repartition("ck").sortWithinPartitions("ck", "block", "span")
+    rows = rows.select("ck", "conv_id", "n", F.col("turns").cast("binary"), F.col("target").cast("binary"),
+                       F.char_length("target").cast("bigint").alias("loss_chars"), "chars")
+    return rows.mapInArrow(run, f"conv_id {kind.simpleString()}, n_turns bigint, turns_sha256 string, loss_chars bigint, "
+                                "loss_sha256 string, formatted_chars bigint")
+
+
 def op3_hilbert_sharding(spark, sf_dir: str) -> DataFrame:
     return (hilbert_shards(table(spark, sf_dir, "documents"), N_SHARDS)
             .select("doc_id", "size", "text_crc32", "law", "shard", "slot",

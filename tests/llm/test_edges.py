@@ -95,3 +95,14 @@ def test_written_shards(spark, tmp_path):
     assert sorted(map(str, back.select("doc_id", "text").collect())) == sorted(map(str, docs.select("doc_id", "text").collect()))
     counts = {r.shard: r["count"] for r in back.groupBy("shard").count().collect()}
     assert len(counts) == 8 and max(counts.values()) - min(counts.values()) <= 1
+
+
+@pytest.mark.parametrize("limit", [0, 40])
+def test_long_conversations_are_streamed(spark, odd, monkeypatch, limit):
+    """Conversations over the limit are never one row, and have the same digests."""
+    whole = sorted(map(str, q.op2_chat_formatting(spark, odd).collect()))
+    monkeypatch.setattr(q, "LONG_CONVERSATION", limit)
+    rows, gathered = q._chat_digests, []
+    monkeypatch.setattr(q, "_chat_digests", lambda read: gathered.append(read.select("conv_id")) or rows(read))
+    assert sorted(map(str, q.op2_chat_formatting(spark, odd).collect())) == whole
+    assert not {r.conv_id for g in gathered for r in g.collect()} & {5, 6}
