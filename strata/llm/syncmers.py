@@ -1,7 +1,8 @@
 """Document fingerprints from closed syncmers (DataFrame functions only).
 
 Symbols are words (runs of up to ``MAX_SYMBOL`` characters that are not white
-space; a longer run is several symbols).  Of all ``K`` consecutive symbols a
+space); in a longer run, as in text written without spaces, every character is
+a symbol, so an edit in the run does not shift the symbols after it.  Of all ``K`` consecutive symbols a
 k-mer is an anchor (a closed syncmer) when the smallest hash among its inner
 runs of ``S`` symbols lies at its first or its last place.  That depends on the
 k-mer alone, not on its context, so an unchanged stretch of text keeps its
@@ -33,7 +34,7 @@ HEX = 8
 
 
 def symbols(text) -> F.Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"[^\s]{{1,{MAX_SYMBOL}}}"), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"(?<!\S)\S{{1,{MAX_SYMBOL}}}(?!\S)|\S"), F.lit(0))
 
 
 def _drop(array, n: int) -> F.Column:

@@ -1,11 +1,12 @@
 """Nulls, empty and long texts, repeated rows, clashing columns and empty tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import queries as q
 from strata.llm.hilbert import write_shards
-from strata.llm.syncmers import fingerprints
+from strata.llm.syncmers import fingerprints, likeness
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, m string, fp bigint, component string"
 LONG = " ".join(f"w{i % 977} x{i}" for i in range(30_000))
@@ -85,6 +86,14 @@ def test_short_texts_have_own_fingerprints(spark):
     assert () not in got.values() and len(set(got.values())) == len(texts)
 
 
+def test_unspaced_near_copy(spark):
+    """One inserted character leaves most anchors of a text without spaces."""
+    run = "".join(chr(0x4E00 + (i * i * 7919 + i * 31) % 20_000) for i in range(2_000))
+    docs = spark.createDataFrame([(run, run[:40] + "x" + run[40:])], "a string, b string")
+    two = fingerprints(fingerprints(docs, "a", "x"), "b", "y")
+    assert two.select(likeness(F.col("x"), F.col("y"))).first()[0] > 0.8
+
+
 def test_written_shards(spark, tmp_path):
     """Every row, null ids and repeats too, is in the files, dealt by law ``rows``."""
     rows = [(None, "a"), (None, "b"), (None, None), *[(7, "again")] * 30, *[(i, f"t{i}") for i in range(60)]]
