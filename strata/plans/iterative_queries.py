@@ -15,8 +15,9 @@ from .registry import register
 @register("cox_ph")
 def q_cox_ph(spark, sf_dir):
     """Cox proportional hazards (Efron ties) on the development
-    period's eligible episodes; coefficients, SEs, and the C-index of the
-    linear predictor on both periods."""
+    period's eligible episodes, numeric covariates only; coefficients, SEs,
+    whether the fit converged, and the C-index of the linear predictor on both
+    periods."""
     dev, later = _periods(spark, sf_dir)
     spec = MODEL_SPECS["pcoma_o_aft"]
     num = [f for f in spec.features if f not in spec.categorical]
@@ -35,9 +36,9 @@ def q_cox_ph(spark, sf_dir):
             .withColumn("risk", fit.linear_predictor(p)))
     c = survival.concordance_index(both, ["split"], "time", "event", "risk").select("split", "c_index")
     coefs = spark.createDataFrame(
-        [(n, float(b), float(s), float(b / s), float(fit.loglik), int(fit.iterations))
+        [(n, float(b), float(s), float(b / s), float(fit.loglik), int(fit.iterations), bool(fit.converged))
          for n, b, s in zip(enc.feature_names, fit.coef, fit.se)],
-        "feature string, coef double, se double, z double, loglik double, iterations int")
+        "feature string, coef double, se double, z double, loglik double, iterations int, converged boolean")
     dev_c = c.filter(F.col("split") == "development").select(F.col("c_index").alias("c_index_development"))
     tmp_c = c.filter(F.col("split") == "temporal").select(F.col("c_index").alias("c_index_temporal"))
     return round_doubles(metrics.attach(metrics.attach(coefs, dev_c, []), tmp_c, []))
@@ -48,7 +49,7 @@ def q_ordinal_logit(spark, sf_dir):
     """M6-M8 + R17: proportional-odds logit fitted on the development
     period (scaled features, first category dropped, constants dropped),
     seven-slot probabilities (M7), locked scoring of the later period (M8),
-    ordinal metric bundle per period."""
+    ordinal metric bundle per period, and whether the fit converged."""
     dev, later = _periods(spark, sf_dir)
     spec = MODEL_SPECS["pcoma_e_ordinal"]
     def rows(df):
@@ -66,4 +67,5 @@ def q_ordinal_logit(spark, sf_dir):
         probs = frame.select("y", *fit.probability_columns(p))
         probs = iterative.expand_probabilities(probs, fit.classes).withColumn("split", F.lit(name))
         out = probs if out is None else out.unionByName(probs)
-    return round_doubles(metrics.ordinal_metric_bundle(out, ["split"], "y", [f"prob_mrs_{k}" for k in range(7)]))
+    bundle = metrics.ordinal_metric_bundle(out, ["split"], "y", [f"prob_mrs_{k}" for k in range(7)])
+    return round_doubles(bundle).withColumn("converged", F.lit(bool(fit.converged)))
