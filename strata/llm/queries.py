@@ -19,6 +19,7 @@ from .common import key_of, stage, table
 from .decontaminate import contaminated
 from .hilbert import hilbert_shards
 from .quality import QualityModel, fit_quality, score_documents
+from .repair_query import OP13_SQL, op13_conversation_repair
 from .simhash import simhash_components
 from .sp_codec import encode_documents
 from .substring_dedup import substring_dedup
@@ -183,7 +184,7 @@ def op10_quality(spark, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_chat_formatting, op3_hilbert_sharding, op4_token_counts, op5_simhash, op6_sentencepiece,
-    op7_syncmer_fingerprints, op8_warc, op9_decontamination, op10_quality)}
+    op7_syncmer_fingerprints, op8_warc, op9_decontamination, op10_quality, op13_conversation_repair)}
 
 #: Windows of 50 words by their own text; every word under a window whose words also start in a smaller document goes.
 _OP1 = r"""
@@ -219,4 +220,4 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM p JOIN g USING (h)
 """
 
-ORACLE = {"op1_substring_dedup": _OP1, "op8_warc": _OP8}
+ORACLE = {"op1_substring_dedup": _OP1, "op8_warc": _OP8, "op13_conversation_repair": OP13_SQL}
