@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .align_query import op11_tokenizer_alignment
 from .chat_format import chat_windows, read_loss, read_turns
 from .common import key_of, stage, table
 from .decontaminate import contaminated
@@ -184,7 +185,8 @@ def op10_quality(spark, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_chat_formatting, op3_hilbert_sharding, op4_token_counts, op5_simhash, op6_sentencepiece,
-    op7_syncmer_fingerprints, op8_warc, op9_decontamination, op10_quality, op13_conversation_repair)}
+    op7_syncmer_fingerprints, op8_warc, op9_decontamination, op10_quality, op11_tokenizer_alignment,
+    op13_conversation_repair)}
 
 #: Windows of 50 words by their own text; every word under a window whose words also start in a smaller document goes.
 _OP1 = r"""
