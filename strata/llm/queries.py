@@ -19,6 +19,7 @@ from .chat_format import chat_windows, read_loss, read_turns
 from .common import key_of, stage, table
 from .decontaminate import contaminated
 from .hilbert import hilbert_shards
+from .packing_query import op12_best_fit_packing
 from .quality import QualityModel, fit_quality, score_documents
 from .repair_query import OP13_SQL, op13_conversation_repair
 from .simhash import simhash_components
@@ -186,7 +187,7 @@ def op10_quality(spark, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_chat_formatting, op3_hilbert_sharding, op4_token_counts, op5_simhash, op6_sentencepiece,
     op7_syncmer_fingerprints, op8_warc, op9_decontamination, op10_quality, op11_tokenizer_alignment,
-    op13_conversation_repair)}
+    op12_best_fit_packing, op13_conversation_repair)}
 
 #: Windows of 50 words by their own text; every word under a window whose words also start in a smaller document goes.
 _OP1 = r"""
