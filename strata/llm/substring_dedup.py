@@ -9,9 +9,9 @@ smaller id; judged on the input, not on what is left.
    picks depends on its words alone, so equal windows pick equal anchors.
 2. Extend.  An anchor's occurrences are joined on (anchor, extension), the
    extension being everything to the left and right that a window holding the
-   anchor can reach.  Occurrences with equal extensions collapse into the one
-   with the smallest id; all others of them are repeats as a whole.  So copies
-   and long shared passages cost one row per anchor, whatever the group's size.
+   anchor can reach.  Occurrences with equal extensions collapse into the smallest
+   id's; all others of them are repeats as a whole.  So copies and long shared
+   passages cost one row per anchor, whatever the group's size.
 3. Where one anchor is left with several extensions (ends of repeats, edits,
    short shared passages), the collapsed occurrences compare window by window,
    grouped by (anchor, window), and windows with a smaller id are repeats.
@@ -24,8 +24,9 @@ windows.  Keys are two independent 64-bit hashes.
 
 Defined results: null text is empty; fewer than ``min_words`` words: nothing
 is removed; repeated rows with one id: neither is smaller, both keep or lose
-the same words; a null id comes after every other id; an empty table gives an
-empty table.  Repeats inside one document stay.
+the same words; different texts with one id (or all null ids) are one document to
+the others and none to each other; a null id comes after every other id; an empty
+table gives an empty table.  Repeats inside one document stay.
 """
 
 from __future__ import annotations
@@ -78,6 +79,16 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        id_key(F.col(id_col)).alias("ord"), F.xxhash64(F.col(text_col)).alias("th"))
 
 
+def _once(keyed: DataFrame) -> DataFrame:
+    """Repeated rows (equal id and text) once; only rows whose key is repeated move,
+    combined before the shuffle."""
+    again = stage(keyed.groupBy("ord", "th").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("ord", "th"), "again")
+    if again.isEmpty():
+        return keyed
+    return (keyed.join(again, ["ord", "th"], "left_anti")
+            .unionByName(keyed.join(again, ["ord", "th"], "left_semi").groupBy("ord", "th").agg(F.first("t").alias("t"))))
+
+
 def _unique(*cols: np.ndarray) -> list[np.ndarray]:
     rows = np.unique(np.rec.fromarrays(cols))
     return [rows[f] for f in rows.dtype.names]
@@ -120,19 +131,24 @@ def _joined(rows, at_least: int = 50_000):
 def repeated_keys(docs: DataFrame, min_words: int, anchor_words: int, id_col: str, text_col: str) -> DataFrame:
     """(ord, th, extensions array, windows array): per document the keys of its
     extensions and windows that also start in a document with a smaller id."""
-    keyed = _keyed(docs, id_col, text_col)
+    keyed = _once(_keyed(docs, id_col, text_col))
     anchors = stage(anchor_rows(keyed, min_words, anchor_words), "anchors")
     first = stage(anchors.groupBy("anchor", "extension")
-                  .agg(F.min("ord").alias("m"), F.max("ord").alias("last"), F.min(F.struct("ord", "th")).alias("rep")),
+                  .agg(F.min("ord").alias("m"), F.max("ord").alias("last"), F.min(F.struct("ord", "th")).alias("rep"),
+                       F.max(F.struct(-F.col("ord"), "th")).alias("other")),
                   "extensions")
     # repeats as a whole: every occurrence after the first document's
     whole = (anchors.join(first.filter("m < last").select("anchor", "extension", "m"), ["anchor", "extension"])
              .filter("ord > m").select("ord", "th", "anchor", "extension", F.lit(True).alias("is_ext")))
     # anchors left with several extensions in more than one document: compare windows
-    several = (first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("lo"), F.max("m").alias("hi"))
-               .filter("n > 1 and lo < hi").select("anchor"))
-    reps = (first.join(several, "anchor")
-            .select(F.col("rep.ord").alias("ord"), F.col("rep.th").alias("th"), "anchor", "extension")
+    several = stage(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("lo"), F.max("m").alias("hi"))
+                    .filter("n > 1 and lo < hi").select("anchor"), "several")
+    open_ = first.join(several, "anchor")
+    # different texts of the smallest id (or without an id) are all opened
+    ties = open_.filter(F.col("rep.th") != F.col("other.th")).select("anchor", "extension", "m")
+    tied = anchors.join(ties, ["anchor", "extension"]).filter("ord = m").select("ord", "th", "anchor", "extension")
+    reps = (open_.filter(F.col("rep.th") == F.col("other.th"))
+            .select(F.col("rep.ord").alias("ord"), F.col("rep.th").alias("th"), "anchor", "extension").unionByName(tied)
             .groupBy("ord", "th").agg(F.collect_list(F.struct("anchor", "extension")).alias("open")))
 
     def windows(batches):
