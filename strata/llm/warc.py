@@ -37,6 +37,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS_PER_FILE = 16384
 LEAST_ID = -(2**63)
+BROADCAST_ROWS = 500_000              # revisits (of about 60 bytes) sent to every executor at most
 
 
 def base32_sha1(hex_digest) -> F.Column:
@@ -69,8 +70,10 @@ def warc_records(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
     sha = F.sha1(F.col("payload").cast("binary"))
     light = rows.select("id", sha.alias("sha"), F.octet_length("payload").alias("n")).filter(F.col("n") >= min_bytes)
     groups = light.groupBy("sha").agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("of"))
-    revisits = (light.join(groups.filter("of > 1"), "sha").filter("id < last")
-                .select("id", "sha", "last").distinct())
+    revisits = stage(light.join(groups.filter("of > 1"), "sha").filter("id < last")
+                     .select("id", "sha", "last").distinct(), "revisits")
+    if revisits.count() <= BROADCAST_ROWS:               # else payloads are shuffled to their revisits
+        revisits = F.broadcast(revisits)
     rows = rows.withColumn("sha", sha).join(revisits, ["id", "sha"], "left")
     is_revisit = F.col("last").isNotNull()
     page = F.when(F.col("id") != LEAST_ID, F.col("id"))
