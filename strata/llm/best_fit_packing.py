@@ -28,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from .common import stage
+from .common import Memory, stage
 from .sp_codec import _slices
 
 BLOCK = 4096
@@ -44,7 +45,8 @@ EPOCHS = 2
 GENERATIONS = 8
 WELL_FILLED = 15 / 16
 LEVELS = 6
-MEMORY = 300_000                     # words that a worker remembers
+MEMORY = 600_000                     # words, and units of words, that a worker remembers
+MARKS = ".,;:!?"
 
 
 # -- tokens -----------------------------------------------------------------
@@ -63,39 +65,50 @@ class WordTokens:
         # words apart: white space is collapsed, removed by the split and in none of its alternatives
         self.by_word = (parts == ["NFC", "Replace", "Lowercase"] and split.get("behavior") == "Removed" and bool(split.get("invert"))
                         and " " not in pattern and "\\s" not in pattern.replace("[^\\s", ""))
-        self.known: dict[str, bytes] = {}
+        self.words, self.units = Memory(MEMORY), Memory(MEMORY)
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode the words as one text and cut its ids by the words they start in."""
-        for k in range(0, len(words), 20_000):
-            part = words[k: k + 20_000]
+    def _encode_units(self, units: list[str]) -> Iterator[bytes]:
+        """Encode the units as one text and cut its ids by the units they start in."""
+        for k in range(0, len(units), 20_000):
+            part = units[k: k + 20_000]
             code = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(code.ids, "<u4")
+            raw = np.array(code.ids, "<u4").tobytes()
             starts = np.array([o[0] for o in code.offsets], np.int64)
             begin = np.cumsum([0, *(len(w) + 1 for w in part[:-1])])
-            edge = np.searchsorted(starts, begin).tolist()
-            raw = ids.tobytes()
-            for w, a, b in zip(part, edge, [*edge[1:], len(ids)], strict=True):
-                self.known[w] = raw[4 * a: 4 * b]
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+            edge = (4 * np.searchsorted(starts, begin)).tolist()
+            yield from (raw[a:b] for a, b in zip(edge, [*edge[1:], len(raw)], strict=True))
+
+    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
+        """A word that ends with a letter and then marks is two units for the split."""
+        cores, marks = [], []
+        for w in words:
+            core = w.rstrip(MARKS)
+            if not core or not core[-1].isalpha():
+                core = w
+            marks.append(w[len(core):])
+            cores.append(core.lower() if core.isascii() and core.isalpha() else core)
+        units = list(dict.fromkeys([*cores, *marks]))
+        known = dict(zip(units, self.units.fetch(units, self._encode_units), strict=True))
+        return (known[c] + known[m] for c, m in zip(cores, marks, strict=True))
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text: its distinct words are looked up, the ids gathered."""
         if not self.by_word:
-            yield from (np.frombuffer(self._whole(t) if t else b"", "<u4") for t in texts)
+            for t in texts.to_pylist():
+                yield np.array(self.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4")
             return
-        cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = list({w for words in cut for w in words if w not in self.known})
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = list({w for words in cut for w in words})
-        self._learn([w for w in new if w])
-        self.known[""] = b""
-        for words in cut:
-            yield np.frombuffer(b"".join([self.known[w] for w in words]), "<u4")
-        if len(self.known) > MEMORY:
-            self.known.clear()
+        cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = cut.flatten().dictionary_encode()
+        word = coded.indices.to_numpy()
+        found = self.words.fetch(coded.dictionary.to_pylist(), self._encode_words)
+        size = np.array([len(x) // 4 for x in found], np.int64)
+        first = np.cumsum(size) - size
+        count = size[word]
+        ends = np.cumsum(count)
+        ids = np.frombuffer(b"".join(found), "<u4")[np.arange(ends[-1]) + np.repeat(first[word] - ends + count, count)]
+        # a text has at least one word, if only an empty one
+        last = ends[np.cumsum(pc.list_value_length(cut).to_numpy()) - 1]
+        yield from np.split(ids, last[:-1])
 
 
 _LOADED: dict[bytes, WordTokens] = {}
@@ -124,9 +137,9 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int
         tokens = _tokens(blob)
         uid = TaskContext.get().partitionId() << 33
         for whole in batches:
-            for part in _slices(whole, "__text"):
+            for part in _slices(whole, "__text", 16_000_000):
                 row, piece, start, length, crc = [], [], [], [], []
-                for k, ids in enumerate(tokens.encode(part.column("__text").to_pylist())):
+                for k, ids in enumerate(tokens.encode(part.column("__text"))):
                     raw = ids.tobytes() + int(end_id).to_bytes(4, "little")
                     n = len(raw) // 4
                     for p, a in enumerate(range(0, n, capacity)):

@@ -76,6 +76,29 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+class Memory:
+    """Values of strings (never None), about ``limit`` of them: new ones go into the young half, which
+    becomes the old half when full; strings met again come back from it."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def fetch(self, strings: list[str], learn: Callable[[list[str]], Iterable]) -> list:
+        got = list(map(self.young.get, strings))
+        holes = [k for k, v in enumerate(got) if v is None]
+        for k in holes:
+            got[k] = self.old.get(strings[k])
+        new = [k for k in holes if got[k] is None]
+        for k, v in zip(new, learn([strings[k] for k in new]), strict=True):
+            got[k] = v
+        self.young.update((strings[k], got[k]) for k in holes)
+        if len(self.young) > self.limit // 2:
+            self.old, self.young = self.young, {}
+        return got
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (xor-shift-multiply)."""
     x = x ^ (x >> np.uint64(31))
