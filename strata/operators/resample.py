@@ -11,11 +11,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_order
 from ..specs import GLOBAL_SEED, LEARNING_CURVE_FRACTIONS, OUTER_CV_SPLITS
+from .bijection import bijection_constants, positions
 from .kernels import global_rank, materialize, prefix_sums
 
 
@@ -114,20 +117,16 @@ def bootstrap_draws(spark, n_groups: int, reps: Sequence[int] | int, seed: int =
     return d.groupBy("rep", idx.alias("group_idx")).agg(F.count(F.lit(1)).alias("weight"))
 
 
-def cluster_bootstrap(df: DataFrame, group: str, label: str, n_boot: int, seed: int = GLOBAL_SEED,
-                      max_attempt_factor: int = 10) -> DataFrame:
-    """(rep, group, weight) for ``n_boot`` valid replicates.
-
-    A replicate is valid when its drawn rows hold both classes; invalid
-    attempts are skipped and the next attempt ids are drawn (at most
-    ``max_attempt_factor * n_boot`` attempts), like the reference's redraw.
-    Weights replace row duplication: a weighted metric over (rows x weight)
-    equals the metric over the duplicated rows.
-    """
+def valid_replicates(df: DataFrame, group: str, label: str, n_boot: int, seed: int = GLOBAL_SEED,
+                     max_attempt_factor: int = 10) -> tuple[list[int], DataFrame, int]:
+    """Ids of ``n_boot`` replicates whose drawn rows hold both classes, the numbered
+    groups and their count.  Invalid attempts are skipped and the next ids drawn (at most
+    ``max_attempt_factor * n_boot`` attempts), like the reference's redraw."""
     spark = df.sparkSession
     gidx = group_index(df, group, seed)
-    prof = group_profiles(df, group, label).join(gidx, group)
-    n_groups = gidx.count()
+    prof = materialize(group_profiles(df, group, label).join(gidx, group))      # one row per group, read for every batch
+    gidx = prof.select(group, "group_idx")
+    n_groups = prof.count()
     valid_reps: list[int] = []
     start = 0
     while len(valid_reps) < n_boot and start < max_attempt_factor * n_boot:
@@ -142,31 +141,61 @@ def cluster_bootstrap(df: DataFrame, group: str, label: str, n_boot: int, seed:
         start = batch[-1] + 1
     if len(valid_reps) < n_boot:
         raise ResamplingError(f"{len(valid_reps)} of {n_boot} replicates hold both classes after {start} attempts")
-    draws = bootstrap_draws(spark, n_groups, valid_reps, seed)
-    return draws.join(gidx, "group_idx").select("rep", group, "weight")
+    return valid_reps, gidx, n_groups
+
+
+def cluster_bootstrap(df: DataFrame, group: str, label: str, n_boot: int, seed: int = GLOBAL_SEED,
+                      max_attempt_factor: int = 10) -> DataFrame:
+    """(rep, group, weight) for ``n_boot`` valid replicates.  Weights replace row
+    duplication: a weighted metric over (rows x weight) equals the metric over the
+    duplicated rows."""
+    reps, gidx, n_groups = valid_replicates(df, group, label, n_boot, seed, max_attempt_factor)
+    return bootstrap_draws(df.sparkSession, n_groups, reps, seed).join(gidx, "group_idx").select("rep", group, "weight")
+
+
+MAX_LEVELS = 100        # distinct values that a permuted column may have as thresholds; more are joined by position
 
 
 def permute_labels(df: DataFrame, key: str, label: str, n_perm: int, seed: int = GLOBAL_SEED,
                    out: str | None = None, salt: str = "perm") -> DataFrame:
-    """For b in 0..n_perm-1, a global permutation of ``label`` over rows
-    (the i-th row in a fixed seeded order receives the label of the i-th row
-    in the replicate's seeded order).
-    Returns (b, key, permuted label); ranks are distributed (X4)."""
+    """For b in 0..n_perm-1, a global permutation of ``label`` over rows.
+    Returns (b, key, permuted label).
+
+    Rows are ranked once in a seeded order (X4); replicate b sends a row's rank to a place
+    by a seeded bijection.  Places are dealt to the values in order (null first), so with
+    up to ``MAX_LEVELS`` distinct values the permuted value is a comparison with their
+    cumulative counts: no shuffle.  With more, places are dealt by rank and the one value
+    is joined by place."""
     out = out or f"{label}_permuted"
-    base = df.select(key, label)
-    # receivers in a fixed seeded order (a numeric key the bucketed rank can
-    # split); donors in a per-replicate order: position i gives its label to i
-    recv = base.select(key).withColumn("__hk", hash_order(seed, f"{salt}:key", F.col(key)))
-    by_key = global_rank(recv, [], "__hk", tiebreak=[key], out="__pos")
-    # rows x replicates is inherent to a permutation test; the replicate ids
-    # are a bounded per-row fan-out (explode), not a join of two tables
-    reps = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_perm - 1).cast("bigint")))
-    expanded = base.select(key, label, reps.alias("b"))
-    hashed = expanded.withColumn("__h", hash_order(seed, salt, F.col("b"), F.col(key)))
-    by_hash = global_rank(hashed, ["b"], "__h", tiebreak=[key], out="__pos")
-    donors = by_hash.select("b", "__pos", F.col(label).alias(out))
-    receivers = by_key.select(key, "__pos", reps.alias("b"))
-    return receivers.join(donors, ["b", "__pos"]).select("b", key, out)
+    ranked = materialize(global_rank(df.select(key, label).withColumn("__h", hash_order(seed, f"{salt}:key", F.col(key))),
+                                     [], "__h", tiebreak=[key], out="__rank"))
+    n = ranked.count()
+    constants = bijection_constants(seed, salt)
+    kind = ranked.schema[key].dataType.simpleString()
+
+    def places(batches):
+        which, step = np.arange(n_perm), max(1, 500_000 // max(1, n_perm))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                place = positions(batch.column("__rank").to_numpy(), which, n, constants)
+                row = pa.array(np.repeat(np.arange(batch.num_rows), n_perm))
+                yield pa.RecordBatch.from_arrays([pa.array(np.tile(which, batch.num_rows)), batch.column(key).take(row), pa.array(place.ravel())],
+                                                 names=["b", key, "__place"])
+
+    moved = ranked.select(key, "__rank").mapInArrow(places, f"b bigint, `{key}` {kind}, __place bigint")
+    levels = ranked.groupBy(label).agg(F.count(F.lit(1)).alias("c")).orderBy(F.col(label).asc_nulls_first()).limit(MAX_LEVELS + 1).collect()
+    if len(levels) > MAX_LEVELS:
+        donors = ranked.select(F.col("__rank").alias("__place"), F.col(label).alias(out))
+        return moved.join(donors, "__place").select("b", key, out)
+    kind = df.schema[label].dataType
+    value, upto = F, 0
+    for level in levels:
+        upto += level["c"]
+        value = value.when(F.col("__place") < upto, F.lit(level[0]).cast(kind))
+    if not levels:
+        value = F.lit(None).cast(kind)
+    return moved.select("b", key, value.alias(out))
 
 
 def permute_column(df: DataFrame, key: str, column: str, n_repeats: int, seed: int = GLOBAL_SEED) -> DataFrame:

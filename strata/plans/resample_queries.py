@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import clean, labels, metrics, resample, split, uncertainty
+from ..operators import clean, labels, metrics, replicates, resample, split, uncertainty
+from ..operators.bijection import bijection_constants, position_sql
 from ..operators.encode import FoldSafeEncoder
-from ..specs import CONFORMAL_ALPHA, GLOBAL_SEED, LEARNING_CURVE_FRACTIONS, MODEL_SPECS
+from ..specs import (CONFORMAL_ALPHA, GLOBAL_SEED, LEARNING_CURVE_FRACTIONS, MODEL_SPECS, N_BOOTSTRAP,
+                     N_PERMUTATIONS)
 from . import fixtures as fx
 from .metric_queries import PREDS_SQL_CTE, cum_sql, round_doubles
 from .registry import STANDIN_SPLIT, d6, register
@@ -156,7 +158,7 @@ def q_oof_check(spark, sf_dir):
         resample.fold_findings(d, "study_patient_id"))
 
 
-N_BOOT_Q = 20
+N_BOOT_Q = N_BOOTSTRAP
 
 
 def _boot_weights(spark, sf_dir):
@@ -178,7 +180,7 @@ BOOT_CTES = (
 
 @register("bootstrap_weights", BOOT_CTES + "SELECT rep, study_patient_id, weight FROM bw")
 def q_bootstrap_weights(spark, sf_dir):
-    """20 patient-cluster bootstrap replicates as (rep, patient, weight)."""
+    """2000 patient-cluster bootstrap replicates as (rep, patient, weight)."""
     return _boot_weights(spark, sf_dir)
 
 
@@ -193,56 +195,57 @@ def q_bootstrap_weights(spark, sf_dir):
     + f"SELECT rep, {d6('sum(pos * (lt_neg + 0.5 * neg)) / (P * N)')} AS roc_auc "
       "FROM c JOIN tt USING (rep) GROUP BY rep, P, N")
 def q_bootstrap_auc(spark, sf_dir):
-    """U5 metric-only mode: weighted AUC of the fixed score in each
-    replicate, all replicates in one job keyed by ``rep``."""
-    dev = _dev(spark, sf_dir)
-    rows = dev.join(_boot_weights(spark, sf_dir), "study_patient_id")
-    return round_doubles(metrics.auc_ap(rows, ["rep"], "observed", "probability", weight="weight")
-                         .select("rep", "roc_auc"))
+    """U5 metric-only mode: weighted AUC of the fixed score in each of the 2000
+    replicates, by one scan with a weight vector per patient."""
+    return round_doubles(replicates.bootstrap_aucs(_dev(spark, sf_dir), "study_patient_id", "observed", "probability",
+                                                   N_BOOT_Q, GLOBAL_SEED).select("rep", "roc_auc"))
 
 
-N_PERM_Q = 5
+N_PERM_Q = N_PERMUTATIONS
 
+_PERM = bijection_constants(GLOBAL_SEED, "perm")
+#: rows ranked once; the walk sends (rank, replicate) to a place, the last places are the positives'
 PERM_CTES = (
-    f"WITH {PREDS_SQL_CTE},\n"
+    f"WITH RECURSIVE {PREDS_SQL_CTE},\n"
     "dev AS (SELECT * FROM preds WHERE split = 'development'),\n"
-    f"k AS (SELECT study_case_id, row_number() OVER (ORDER BY {md5_key(GLOBAL_SEED, 'perm:key', 'study_case_id')}, "
-    "study_case_id) - 1 AS pos FROM dev),\n"
-    f"hh AS (SELECT b, observed, row_number() OVER (PARTITION BY b ORDER BY {md5_key(GLOBAL_SEED, 'perm', 'b', 'study_case_id')}, "
-    f"study_case_id) - 1 AS pos FROM dev, range(0, {N_PERM_Q}) t(b)),\n"
-    "pl AS (SELECT hh.b, k.study_case_id, hh.observed AS observed_permuted FROM k JOIN hh USING (pos))\n")
-
-
-@register("permuted_labels", PERM_CTES + "SELECT b, study_case_id, observed_permuted FROM pl")
+    f"rk AS (SELECT study_case_id, observed, probability, row_number() OVER (ORDER BY {md5_key(GLOBAL_SEED, 'perm:key', 'study_case_id')}, "
+    "study_case_id) - 1 AS r FROM dev),\n"
+    "dims AS (SELECT count(*) AS n, CAST(sum(observed) AS BIGINT) AS p, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM dev),\n"
+    "dim AS (SELECT *, (n + a - 1) // a AS c FROM dims),\n"
+    "walk AS (SELECT r, b, a, c, n, p, y FROM ("
+    + position_sql(f"SELECT r, b, a, c, n, p, r AS x FROM rk, dim, range(0, {N_PERM_Q}) t(b)", _PERM)
+    + ") UNION ALL SELECT r, b, a, c, n, p, y FROM ("
+    + position_sql("SELECT r, b, a, c, n, p, y AS x FROM walk WHERE y >= n", _PERM) + ")),\n"
+    "pl AS (SELECT b, study_case_id, probability, CASE WHEN y >= n - p THEN 1 ELSE 0 END AS observed_permuted "
+    "FROM walk JOIN rk USING (r) WHERE y < n)\n")
+
+
+@register("permuted_labels", PERM_CTES + "SELECT study_case_id, count(*) AS replicates, CAST(sum(observed_permuted) AS BIGINT) AS times_positive, "
+          "CAST(sum(b * observed_permuted) AS BIGINT) AS replicate_sum FROM pl GROUP BY study_case_id")
 def q_permuted_labels(spark, sf_dir):
-    """5 global label permutations of the development rows."""
-    return resample.permute_labels(_dev(spark, sf_dir), "study_case_id", "observed", N_PERM_Q)
+    """1000 global label permutations of the development rows; per row the replicates
+    that make it positive, as their number and sum."""
+    return replicates.permuted_positives(_dev(spark, sf_dir), "study_case_id", "observed", N_PERM_Q, GLOBAL_SEED)
 
 
-@register("permutation_test", PERM_CTES.replace(
-    "pl AS (SELECT hh.b, k.study_case_id, hh.observed AS observed_permuted FROM k JOIN hh USING (pos))\n",
-    "pl AS (SELECT hh.b, k.study_case_id, hh.observed AS observed_permuted FROM k JOIN hh USING (pos)),\n"
-    "x AS (SELECT b, observed_permuted AS observed, probability FROM pl JOIN dev USING (study_case_id) "
+@register("permutation_test", PERM_CTES.rstrip("\n") + ",\n"
+    "x AS (SELECT b, observed_permuted AS observed, probability FROM pl "
     "UNION ALL SELECT -1 AS b, observed, probability FROM dev),\n"
     "h AS (SELECT b, CAST(probability AS DOUBLE) AS score, CAST(sum(observed) AS DOUBLE) AS pos, "
     "CAST(sum(1 - observed) AS DOUBLE) AS neg FROM x GROUP BY ALL),\n"
     f"c AS ({cum_sql('b', 'h')}),\n"
     "tt AS (SELECT b, sum(pos) AS P, sum(neg) AS N FROM h GROUP BY b),\n"
-    "a AS (SELECT b, sum(pos * (lt_neg + 0.5 * neg)) / (P * N) AS auc FROM c JOIN tt USING (b) GROUP BY b, P, N)\n")
+    "a AS (SELECT b, sum(pos * (lt_neg + 0.5 * neg)) / (P * N) AS auc FROM c JOIN tt USING (b) GROUP BY b, P, N)\n"
     + "SELECT " + d6("(SELECT auc FROM a WHERE b = -1)") + " AS baseline_auc, count(*) AS permutations, "
     + d6("(count(*) FILTER (WHERE auc >= (SELECT auc FROM a WHERE b = -1)) + 1) / (count(*) + 1)") + " AS p_value, "
     + d6("avg(auc)") + " AS permuted_auc_mean, " + d6("stddev_samp(auc)") + " AS permuted_auc_sd FROM a WHERE b >= 0")
 def q_permutation_test(spark, sf_dir):
-    """U6 metric-only mode: AUC of the fixed score against each permuted
-    label vector, p = (#{perm >= base} + 1) / (B + 1)."""
+    """U6 metric-only mode: AUC of the fixed score against each of 1000 permuted
+    label vectors, p = (#{perm >= base} + 1) / (B + 1)."""
     dev = _dev(spark, sf_dir)
-    perm = resample.permute_labels(dev, "study_case_id", "observed", N_PERM_Q)
-    x = (perm.join(dev.select("study_case_id", "probability"), "study_case_id")
-         .select("b", F.col("observed_permuted").alias("observed"), "probability")
-         .unionByName(dev.select(F.lit(-1).cast("bigint").alias("b"), "observed", "probability")))
-    a = metrics.auc_ap(x, ["b"], "observed", "probability").select("b", F.col("roc_auc").alias("auc"))
-    base = a.filter(F.col("b") == -1).select(F.col("auc").alias("base"))
-    perms = a.filter(F.col("b") >= 0)
+    perms = replicates.permutation_aucs(dev, "study_case_id", "observed", "probability", N_PERM_Q, GLOBAL_SEED)
+    base = metrics.auc_ap(dev, [], "observed", "probability").select(F.col("roc_auc").alias("base"))
+    perms = perms.select(F.col("replicate").alias("b"), F.col("roc_auc").alias("auc"))
     out = metrics.attach(perms, base, []).agg(
         F.first("base").alias("baseline_auc"), F.count(F.lit(1)).alias("permutations"),
         ((F.count(F.when(F.col("auc") >= F.col("base"), 1)) + 1) / (F.count(F.lit(1)) + 1)).alias("p_value"),
