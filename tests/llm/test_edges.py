@@ -46,6 +46,10 @@ def test_odd_rows(spark, odd, name):
     if name.startswith("op2_"):
         ids = {i for i, _ in ROWS} | {-1}
         assert len(rows) == len(ids) and {r.conv_id for r in rows} == ids
+    elif name.startswith("op13_"):
+        assert len(rows) == len({i for i, _ in ROWS}) and {r.conv_id for r in rows} == {i for i, _ in ROWS}
+    elif name.startswith("op12_"):
+        assert sorted(str(r.doc_id) for r in rows if r.piece == 0) == sorted(str(i) for i, _ in ROWS)
     elif name.startswith("op9_"):
         assert rows == []
     else:
