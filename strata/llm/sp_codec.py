@@ -33,6 +33,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Memory
+
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -74,6 +76,7 @@ class Model:
     """What encoding needs of a BPE model file."""
 
     def __init__(self, blob: bytes, memory: int = 400_000):
+        import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as pb
         proto = pb.ModelProto()
         proto.ParseFromString(blob)
@@ -96,11 +99,15 @@ class Model:
         if any(self.space in p.lstrip(self.space) for p in self.ids):
             raise ValueError("a piece holds a space after another character: segments can't be cut there")
         self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.words = Memory(400_000)
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=blob)
+        self.last_byte = max(self.byte_of, default=-1)
         self.memory = memory
         # a run of spaces with what follows is one segment
         self.cut = re.compile(f"{self.space}*[^{self.space}]+|{self.space}+")
         self.surface = [b"" if k == CONTROL else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, kinds)]
         self.surface[self.unk] = self.unk_surface.encode()
+        self.widths = [1 if i in self.byte_of else min(255, len(s)) for i, s in enumerate(self.surface)]
 
     # -- normalising ---------------------------------------------------------
     def plain(self, text: str) -> bool:
@@ -277,6 +284,64 @@ class Model:
             start, end = self._byte_spans(width, start, end)
         return ids, start.astype(np.int32), end.astype(np.int32)
 
+    def encode_all(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, str]]:
+        """(ids, span start, span end, decoded) of each text.
+
+        Where normalising only makes spaces visible and adds the prefix, and a text has
+        single spaces between visible characters, its segments are its words: distinct
+        words are merged once, and ids and byte widths are gathered from them.  Other
+        texts go through :meth:`encode`."""
+        texts = pc.fill_null(texts, "")
+        if not texts or not self.dummy or self.squeeze or self.map.firsts or not self.fallback or SPACE not in self.ids or max(self.widths) == 255:
+            got = [self.encode(t) for t in texts.to_pylist()]
+            return [(*g, self.decode(g[0])) for g in got]
+        odd = pc.or_(pc.match_substring_regex(texts, f"  |^ | $|\\A |{SPACE}| \\z"), pc.equal(texts, "")).to_numpy(zero_copy_only=False)
+        out: list = [None] * len(texts)
+        for k in np.flatnonzero(odd).tolist():
+            got = self.encode(texts[k].as_py())
+            out[k] = (*got, self.decode(got[0]))
+        even = np.flatnonzero(~odd)
+        if not len(even):
+            return out
+        cut = pc.split_pattern(texts.take(pa.array(even)), " ")
+        coded = cut.flatten().dictionary_encode()
+        word = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_pylist()
+        known = self.words.fetch(distinct, self._learn)
+        size = np.array([len(k[1]) for k in known], np.int64)
+        first = np.cumsum(size) - size
+        count = size[word]
+        ends = np.cumsum(count)
+        at = np.arange(ends[-1]) + np.repeat(first[word] - ends + count, count)
+        ids = np.frombuffer(b"".join([k[0] for k in known]), np.int32)[at]
+        width = np.frombuffer(b"".join([k[1] for k in known]), np.uint8)[at].astype(np.int64)
+        decoded = [" " + w if k[2] is None else k[2] for w, k in zip(distinct, known, strict=True)]
+        total = np.cumsum(width)
+        words = np.cumsum(pc.list_value_length(cut).to_numpy())
+        last = ends[words - 1].tolist()
+        index = word.tolist()
+        a = w = 0
+        for k, b, v in zip(even.tolist(), last, words.tolist(), strict=True):
+            # the prefix has no bytes of its own: the first piece of a text starts and counts one less
+            end = (total[a:b] - (total[a] - width[a] + 1)).astype(np.int32)
+            start = np.empty_like(end)
+            start[0], start[1:] = 0, end[:-1]
+            out[k] = (ids[a:b], start, end, "".join([decoded[x] for x in index[w:v]])[1:])
+            a, w = b, v
+        return out
+
+    def _learn(self, words: list[str]) -> Iterator[tuple[bytes, bytes, str | None]]:
+        """Per word, with the prefix before it, (ids, bytes of each piece, decoded text
+        where it is not the word's own); no character map applies here, so the
+        library's merging of single words is used."""
+        for word, ids in zip(words, self.library.encode(words, num_threads=1), strict=True):
+            text = None
+            if min(ids) <= self.last_byte:
+                text = self.decode([self.ids[SPACE], *ids])
+            elif (own := "".join(map(self.pieces.__getitem__, ids)).replace(SPACE, " ")) != " " + word:
+                text = own
+            yield struct.pack(f"{len(ids)}i", *ids), bytes(map(self.widths.__getitem__, ids)), text
+
     @staticmethod
     def _byte_spans(width, start, end):
         start, end = start.copy(), end.copy()
@@ -379,8 +444,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         model = _model(blob)
         for whole in batches:
             for b in _slices(whole, "__text"):
-                got = [model.encode(t) for t in b.column("__text").to_pylist()]
-                decoded = [model.decode(g[0]) for g in got]
+                got = model.encode_all(b.column("__text"))
+                decoded = [g[3] for g in got]
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c) for c in keep), *(_lists([g[k] for g in got]) for k in range(3)),
                      pa.array(decoded, pa.string())], names=[*keep, "ids", "span_start", "span_end", "decoded"])
