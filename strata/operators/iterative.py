@@ -161,11 +161,11 @@ class OrderedLogitFit:
     iterations: int
     converged: bool
 
-    def probability_columns(self, p: int, prefix: str = "prob_") -> list[Column]:
-        """M8: P(y = class) as column expressions (no UDF)."""
+    def probability_columns(self, p: int, prefix: str = "prob_", terms: Sequence[Column] | None = None) -> list[Column]:
+        """M8: P(y = class) as column expressions (no UDF) over ``terms`` (x0.. if not given)."""
         lp = F.lit(0.0)
         for i in range(p):
-            lp = lp + F.lit(float(self.beta[i])) * F.col(f"x{i}")
+            lp = lp + F.lit(float(self.beta[i])) * (F.col(f"x{i}") if terms is None else terms[i])
         cdf = [F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(float(t)) - lp))) for t in self.thresholds]
         cols, prev = [], F.lit(0.0)
         for k, c in enumerate(self.classes):

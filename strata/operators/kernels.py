@@ -151,6 +151,15 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[
     by = list(by)
     hist = materialize(df.filter(F.col(col).isNotNull()).groupBy(*by, col)
                        .agg(F.count(F.lit(1)).alias("__cnt")))
+    return histogram_quantiles(hist, by, col, "__cnt", probs)
+
+
+def histogram_quantiles(hist: DataFrame, by: Sequence[str], col: str, count_col: str,
+                        probs: Sequence[float]) -> DataFrame:
+    """``exact_quantiles`` of a materialized histogram: one row per ``by`` and
+    distinct ``col`` with a positive whole count (a sum of integer weights)."""
+    by = list(by)
+    hist = hist.withColumnRenamed(count_col, "__cnt")
     n = hist.groupBy(*by).agg(F.sum("__cnt").alias("__n"))
     qarr = F.array(*[F.lit(float(q)) for q in probs])
     t = n.select(*by, "__n", F.explode(qarr).alias("q")).withColumn(

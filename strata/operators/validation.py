@@ -1,7 +1,8 @@
 """Validation jobs.
 
-Many-fit jobs reuse one checkpointed, encoded input; bootstrap replicates
-are *weights* on that input (Spark ML ``weightCol``), never duplicated rows;
+Every fit has an encoder learnt from its own training rows; the encoders of folds
+and replicates come from shared histograms.  Bootstrap replicates
+are *weights* on the rows (Spark ML ``weightCol``), never duplicated rows;
 fits are independent Spark jobs submitted from a small driver thread pool.
 Metric-only modes (fixed scores, no refit) run every replicate in one job
 keyed by the replicate id (see the ``bootstrap_auc`` / ``permutation_test``
@@ -13,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -26,6 +28,9 @@ from .kernels import materialize
 from .metrics import auc_ap, binary_metric_bundle, youden_threshold
 from .models import EstimatorFactory, _numeric, model_rows
 from .resample import cluster_bootstrap, group_index, permute_labels, stratified_group_folds
+from .stages import EncodedPipeline, FoldSafeEncoding
+
+ENCODERS = 32            # replicates whose encoders come from one scan
 
 
 def evaluate_by(predictions: DataFrame, by: Sequence[str], label: str = "observed",
@@ -42,11 +47,6 @@ def evaluate_by(predictions: DataFrame, by: Sequence[str], label: str = "observe
     return binary_metric_bundle(predictions, by, label, score, thr)
 
 
-def _encoded(rows: DataFrame, spec: ModelSpec, scale: bool, keep: Sequence[str]):
-    enc = FoldSafeEncoder(_numeric(spec), spec.categorical, scale=scale).fit(rows)
-    return enc, enc.transform_vector(rows, keep=list(keep))
-
-
 def _p1(df: DataFrame) -> DataFrame:
     return df.withColumn("probability", vector_to_array("probability")[1])
 
@@ -57,21 +57,31 @@ def bootstrap_optimism(df: DataFrame, spec: ModelSpec, estimator: EstimatorFacto
     """U5 (refit mode): apparent AUC - mean(bootstrap AUC - AUC of the
     bootstrap model on the original rows); SE of the latter (ddof 1).
 
-    The encoder is fitted once on all rows and the encoded table is
-    checkpointed; each replicate is a weighted fit on it.  So a replicate's
-    medians, modes and levels also come from rows it did not draw (open:
-    statistics weighted by replicate)."""
-    rows = model_rows(df, spec, key, group)
-    _, enc = _encoded(rows, spec, False, [key, group, "label"])
-    enc = materialize(enc)
+    A replicate is a weight on the rows.  Its encoder learns from the rows it drew, as
+    often as it drew them: a histogram of distinct values gives the encoders of
+    ``ENCODERS`` replicates in one scan."""
+    rows = materialize(model_rows(df, spec, key, group))
+    encoder = FoldSafeEncoder(_numeric(spec), spec.categorical)
+    enc = materialize(encoder.fit(rows).transform_vector(rows, keep=["label"]))
     apparent_model = estimator(enc.count()).fit(enc)
     apparent = auc_ap(_p1(apparent_model.transform(enc)), [], "label", "probability").first().roc_auc
     weights = cluster_bootstrap(rows.withColumn("label", F.col("label").cast("int")), group, "label", n_boot, seed)
     weights = materialize(weights)
+    # redrawn single-class replicates leave gaps in the ids
+    valid = sorted(r.rep for r in weights.select("rep").distinct().collect())
+    encoders = {}
+    for at in range(0, len(valid), ENCODERS):
+        some = valid[at:at + ENCODERS]
+        drawn = weights.filter(F.col("rep").isin(some)).groupBy(group).pivot("rep", some).agg(F.sum("weight"))
+        names = [f"__w{r}" for r in some]
+        drawn = drawn.toDF(group, *names)
+        encoders.update(zip(some, encoder.fit_weighted(rows.join(drawn, group), [F.col(c) for c in names]), strict=True))
 
     def one(rep: int):
-        w = enc.join(weights.filter(F.col("rep") == rep).select(group, F.col("weight").cast("double")),
-                     group, "inner")
+        own = rows.join(weights.filter(F.col("rep") == rep).select(group, F.col("weight").cast("double")),
+                        group, "left")
+        enc = materialize(encoders[rep].transform_vector(own, keep=["label", "weight"]))
+        w = enc.filter("weight > 0")
         est = estimator(int(w.agg(F.sum("weight")).first()[0]))
         est.setWeightCol("weight")
         m = est.fit(w)
@@ -79,8 +89,6 @@ def bootstrap_optimism(df: DataFrame, spec: ModelSpec, estimator: EstimatorFacto
         orig_auc = auc_ap(_p1(m.transform(enc)), [], "label", "probability").first().roc_auc
         return rep, boot_auc - orig_auc, orig_auc
 
-    # redrawn single-class replicates leave gaps in the ids
-    valid = sorted(r.rep for r in weights.select("rep").distinct().collect())
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         res = list(pool.map(one, valid))
     spark = df.sparkSession
@@ -91,16 +99,17 @@ def bootstrap_optimism(df: DataFrame, spec: ModelSpec, estimator: EstimatorFacto
                     F.stddev_samp("test_auc").alias("test_auc_standard_error"))
 
 
-def _oof_auc(enc: DataFrame, estimator: EstimatorFactory, label: str, k: int) -> float:
+def _oof_auc(encoded: Sequence[DataFrame], estimator: EstimatorFactory, labels: DataFrame | None, key: str) -> float:
+    """AUC of the out-of-fold predictions; ``encoded[f]`` are all rows as the encoder of
+    training fold f sees them, ``labels`` (key, label) replaces their label."""
     parts = []
-    for f in range(k):
+    for f, enc in enumerate(encoded):
+        if labels is not None:
+            enc = enc.drop("label").join(labels, key)
         train, valid = enc.filter(F.col("fold") != f), enc.filter(F.col("fold") == f)
-        m = estimator(train.count()).fit(train.withColumnRenamed(label, "label") if label != "label" else train)
-        parts.append(_p1(m.transform(valid)).select(label, "probability"))
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    return float(auc_ap(oof, [], label, "probability").first().roc_auc)
+        m = estimator(train.count()).fit(train)
+        parts.append(_p1(m.transform(valid)).select("label", "probability"))
+    return float(auc_ap(reduce(DataFrame.unionByName, parts), [], "label", "probability").first().roc_auc)
 
 
 def permutation_test(df: DataFrame, spec: ModelSpec, estimator: EstimatorFactory, n_perm: int,
@@ -111,16 +120,15 @@ def permutation_test(df: DataFrame, spec: ModelSpec, estimator: EstimatorFactory
     model; p = (#{perm >= base} + 1) / (B + 1)."""
     rows = model_rows(df, spec, key, group)
     folds = stratified_group_folds(rows, group, "label", k, seed)
-    rows = rows.join(folds, group)
-    _, enc = _encoded(rows, spec, False, [key, group, "label", "fold"])
-    enc = materialize(enc)
-    base = _oof_auc(enc, estimator, "label", k)
-    perm = materialize(permute_labels(enc.select(key, "label"), key, "label", n_perm, seed))
+    rows = materialize(rows.join(folds, group))
+    encoders, _ = FoldSafeEncoder(_numeric(spec), spec.categorical).fit_folds(rows, "fold", k)
+    # encoders never read a label: one encoded table per training fold serves every permutation
+    encoded = [materialize(e.transform_vector(rows, keep=[key, "label", "fold"])) for e in encoders]
+    base = _oof_auc(encoded, estimator, None, key)
+    perm = materialize(permute_labels(rows.select(key, "label"), key, "label", n_perm, seed))
 
     def one(b: int) -> float:
-        pb = perm.filter(F.col("b") == b).select(key, F.col("label_permuted").alias("plabel"))
-        e = enc.join(pb, key).drop("label").withColumnRenamed("plabel", "label")
-        return _oof_auc(e, estimator, "label", k)
+        return _oof_auc(encoded, estimator, perm.filter(F.col("b") == b).select(key, F.col("label_permuted").alias("label")), key)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         vals = list(pool.map(one, range(n_perm)))
@@ -165,6 +173,7 @@ def nested_cv(df: DataFrame, spec: ModelSpec, estimator: EstimatorFactory, grid:
               inner_k: int = INNER_CV_SPLITS, seed: int = GLOBAL_SEED, parallelism: int = 4) -> DataFrame:
     """Outer group folds x inner group folds (``CrossValidator`` with a
     ``foldCol``), grid of estimator params, best refit per outer fold;
+    the encoder is part of the pipeline, so it is fitted on each inner training fold;
     per-fold outer AUC and best params (mean/sd over rows of the result)."""
     rows = model_rows(df, spec, key, group)
     outer = stratified_group_folds(rows, group, "label", outer_k, seed, out="outer")
@@ -174,20 +183,20 @@ def nested_cv(df: DataFrame, spec: ModelSpec, estimator: EstimatorFactory, grid:
         train, test = rows.filter(F.col("outer") != f), rows.filter(F.col("outer") == f)
         inner = stratified_group_folds(train, group, "label", inner_k, seed + 1 + f, out="inner")
         train = train.join(inner, group)
-        enc = FoldSafeEncoder(_numeric(spec), spec.categorical).fit(train)
-        tr = materialize(enc.transform_vector(train, keep=["label", "inner"]))
-        est = estimator(tr.count())
+        train = materialize(train)
+        est = estimator(train.count())
+        pipeline = EncodedPipeline(stages=[FoldSafeEncoding(numericCols=_numeric(spec),
+                                                            categoricalCols=list(spec.categorical)), est])
         pg = ParamGridBuilder()
         for name, values in grid.items():
             pg = pg.addGrid(est.getParam(name), list(values))
-        cv = CrossValidator(estimator=est, estimatorParamMaps=pg.build(), foldCol="inner", numFolds=inner_k,
+        cv = CrossValidator(estimator=pipeline, estimatorParamMaps=pg.build(), foldCol="inner", numFolds=inner_k,
                             evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC",
                                                                   numBins=0),
                             parallelism=parallelism, seed=seed)
-        cvm = cv.fit(tr)
-        best = cvm.bestModel
-        te = _p1(best.transform(enc.transform_vector(test, keep=["label"])))
-        auc = auc_ap(te, [], "label", "probability").first().roc_auc
+        fitted = cv.fit(train).bestModel
+        best = fitted.stages[-1]
+        auc = auc_ap(_p1(fitted.transform(test)), [], "label", "probability").first().roc_auc
         params = {n: best.getOrDefault(best.getParam(n)) for n in grid}
         res.append((f, float(auc), str(sorted(params.items()))))
     return df.sparkSession.createDataFrame(res, "outer_fold long, outer_auc double, best_params string")

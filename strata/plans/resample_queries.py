@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.exprs import hash_order
 from ..operators import clean, labels, metrics, replicates, resample, split, uncertainty
 from ..operators.bijection import bijection_constants, position_sql
 from ..operators.encode import FoldSafeEncoder
@@ -320,3 +321,50 @@ def q_fold_safe_encoding(spark, sf_dir):
     out = enc.transform(rows.filter(F.col("split") == "temporal"), keep=["study_case_id"])
     return round_doubles(out)
 
+
+
+# each training fold's encoder, from one histogram
+
+_ENC_FOLD = f"({md5_key(GLOBAL_SEED, 'encoder', 'study_patient_id')} % 5)"
+
+
+def _fold_encoder_sql() -> str:
+    def part(name, value, median, imputed, having):
+        return (f"SELECT scheme AS fold, '{name}' AS feature, count(*) AS n_rows, {median} AS median, "
+                f"{d6(f'avg({imputed})')} AS mean, {d6(f'stddev_pop({imputed})')} AS sd, CAST(NULL AS BOOLEAN) AS is_mode "
+                f"FROM t GROUP BY scheme HAVING {having}")
+    parts = []
+    meds = ", ".join(f"median(CAST({c} AS DOUBLE)) OVER (PARTITION BY scheme) AS med_{c}" for c in _E_NUM)
+    for c in _E_NUM:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(part(f"numeric__{c}", c, d6(f"median({x})"), f"coalesce({x}, med_{c})", f"count({c}) > 0"))
+        parts.append(part(f"numeric__missingindicator_{c}", c, "CAST(NULL AS DOUBLE)",
+                          f"CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END", f"count({c}) > 0 AND count({c}) < count(*)"))
+    for c in _E.categorical:
+        parts.append(f"SELECT scheme AS fold, 'categorical__{c}_' || {c} AS feature, max(n) AS n_rows, NULL AS median, NULL AS mean, "
+                     f"NULL AS sd, row_number() OVER (PARTITION BY scheme ORDER BY count(*) DESC, {c}) = 1 AS is_mode "
+                     f"FROM t WHERE {c} IS NOT NULL GROUP BY scheme, {c}")
+    return fx.with_ctes("SELECT * FROM answer", "registry").replace(
+        "\nSELECT * FROM answer",
+        f",\ndev AS (SELECT *, {_ENC_FOLD} AS own FROM registry WHERE {ORD_ELIG_SQL} = 1 AND ({ORD_LABEL_SQL}) IS NOT NULL "
+        "AND index_year BETWEEN 1995 AND 1998),\n"
+        "t AS (SELECT d.*, f.scheme, count(*) OVER (PARTITION BY scheme) AS n, " + meds +
+        " FROM dev d, (SELECT CAST(unnest(range(-1, 5)) AS INTEGER) AS scheme) f WHERE f.scheme <> d.own)\n" + "\nUNION ALL ".join(parts), 1)
+
+
+@register("fold_encoder_statistics", _fold_encoder_sql())
+def q_fold_encoder_statistics(spark, sf_dir):
+    """P1-P4 for M1: what the encoder of every training fold learns (the fold's own rows
+    held out; fold -1: all rows): medians, means and sds of numerics and indicators,
+    levels and mode of the category, all from one scan."""
+    rows = _model_rows(spark, sf_dir).filter(F.col("split") == "development")
+    rows = rows.withColumn("fold", F.pmod(hash_order(GLOBAL_SEED, "encoder", F.col("study_patient_id")), F.lit(5)))
+    folds, whole = FoldSafeEncoder(_E_NUM, _E.categorical, scale=True).fit_folds(rows, "fold", 5)
+    out = []
+    for f, e in [*enumerate(folds), (-1, whole)]:
+        medians = {f"numeric__{c}": m for c, m in e.medians.items()}
+        out += [(f, n, e.n_rows, medians.get(n), m, e.sds[n], None) for n, m in e.means.items()]
+        out += [(f, f"categorical__{c}_{v}", e.n_rows, None, None, None, v == e.modes[c])
+                for c in e.categorical for v in e.categories[c]]
+    return round_doubles(spark.createDataFrame(
+        out, "fold int, feature string, n_rows long, median double, mean double, sd double, is_mode boolean"))
