@@ -27,8 +27,8 @@ def survival_predictions(spark, sf_dir):
 
 CINDEX_SQL = fx.with_ctes(
     "SELECT p.split, CAST(sum(p.ne + p.nc) AS BIGINT) AS n, CAST(sum(p.ne) AS BIGINT) AS events, "
-    "CAST(max(dd.comparable) AS BIGINT) AS comparable, CAST(max(cc.conc) AS BIGINT) AS concordant, "
-    "CAST(max(cc.ties) AS BIGINT) AS tied_risk, "
+    "CAST(max(dd.comparable) AS DECIMAL(38,0)) AS comparable, CAST(max(cc.conc) AS DECIMAL(38,0)) AS concordant, "
+    "CAST(max(cc.ties) AS DECIMAL(38,0)) AS tied_risk, "
     + d6("max(cc.conc + 0.5 * cc.ties) / max(dd.comparable)") + " AS c_index "
     "FROM pts p JOIN cc USING (split) JOIN dd USING (split) GROUP BY p.split", "registry").replace(
     "\nSELECT p.split",

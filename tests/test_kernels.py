@@ -51,13 +51,26 @@ def brute_c(t, e, r):
     return num / den
 
 
-def test_dominance_weights():
+@pytest.mark.parametrize("buckets", [1, 4, 17])
+def test_dominance_pairs(spark, buckets):
     rng = np.random.default_rng(2)
-    for _ in range(100):
-        n = int(rng.integers(1, 40))
-        k, r, w = rng.integers(0, 5, n), rng.integers(0, 5, n), rng.integers(1, 3, n)
-        exp = [sum(w[j] for j in range(n) if r[j] < r[i] and k[j] > k[i]) for i in range(n)]
-        assert np.allclose(survival.dominance_weights(k.astype(float), r.astype(float), w), exp)
+    rows = {(g, float(rng.integers(0, 9) if rng.random() < 0.6 else 4), float(rng.integers(0, 30) if rng.random() < 0.6 else 7))
+            for g in range(4) for _ in range(1 if g == 3 else 90)}               # a hot key and a hot value
+    pdf = pd.DataFrame([(*r, int(rng.integers(0, 4)), int(rng.integers(1, 5)) * 10 ** 12) for r in sorted(rows)],
+                       columns=["g", "k", "v", "q", "w"])
+    out = survival.dominance_pairs(spark.createDataFrame(pdf), ["g"], "k", "v", "q", "w", buckets)
+    assert dict(out.dtypes)["pairs"] == "decimal(38,0)"
+    got = {r.g: int(r.pairs) for r in out.collect()}
+    for g, d in pdf.groupby("g"):
+        m = d.merge(d, how="cross")
+        m = m[(m.k_y > m.k_x) & (m.v_y < m.v_x)]
+        assert got[g] == sum(int(q) * int(w) for q, w in zip(m.q_x, m.w_y))
+    assert got[3] == 0
+
+
+def test_pair_counts_beyond_64_bits(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3 * 10 ** 12, 10 ** 12), (2.0, 1.0, 5, 4 * 10 ** 12)], "k double, v double, q long, w long")
+    assert int(survival.dominance_pairs(df, [], "k", "v", "q", "w").first().pairs) == 12 * 10 ** 24
 
 
 @pytest.mark.parametrize("blocks", [2, 5])
