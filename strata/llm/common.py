@@ -99,6 +99,12 @@ class Memory:
         return got
 
 
+def blocks(batch: pa.RecordBatch, rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, for work whose temporary arrays are many times its rows."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (xor-shift-multiply)."""
     x = x ^ (x >> np.uint64(31))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import blocks, stage
 
 MAX_ROWS = 100_000
 FEATURES, FOLDS, RIDGE, WIDTH, GRID, SEED = 256, 3, 1e-3, 1.0, 4096, 20
@@ -133,7 +133,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            stats = [document_stats(t) for t in b.column(0).to_pylist()]
+            stats = [document_stats(t.as_py()) for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(stats, pa.list_(pa.float64()))],
                                              names=["y", "fold", "stats"])
 
@@ -179,12 +179,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id
     def normal(batches):
         m = FEATURES + 1
         zz, zy = np.zeros((FOLDS, m, m)), np.zeros((FOLDS, m))
-        for b in batches:
-            z, y, fold = model.features(_matrix(b.column(2))), b.column(0).to_numpy(), b.column(1).to_numpy()
-            for k in range(FOLDS):
-                zk = z[fold == k]
-                zz[k] += zk.T @ zk
-                zy[k] += zk.T @ y[fold == k]
+        for whole in batches:
+            for b in blocks(whole):
+                z, y, fold = model.features(_matrix(b.column(2))), b.column(0).to_numpy(), b.column(1).to_numpy()
+                for k in range(FOLDS):
+                    zk = z[fold == k]
+                    zz[k] += zk.T @ zk
+                    zy[k] += zk.T @ y[fold == k]
         yield pa.RecordBatch.from_arrays([pa.array([zz.tobytes()], pa.binary()), pa.array([zy.tobytes()], pa.binary())],
                                          names=["zz", "zy"])
 
@@ -201,11 +202,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id
     model.coef = solve(zz.sum(0), zy.sum(0))
 
     def scored(batches):
-        for b in batches:
-            x, fold = _matrix(b.column(2)), b.column(1).to_numpy()
-            raw = np.select([fold == k for k in range(FOLDS)], [model.raw(x, held[k]) for k in range(FOLDS)])
-            at = np.clip(np.floor((raw + 0.5) / 2 * GRID), 0, GRID - 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(at), b.column(0)], names=["bin", "y"])
+        for whole in batches:
+            for b in blocks(whole):
+                x, fold = _matrix(b.column(2)), b.column(1).to_numpy()
+                raw = np.select([fold == k for k in range(FOLDS)], [model.raw(x, held[k]) for k in range(FOLDS)])
+                at = np.clip(np.floor((raw + 0.5) / 2 * GRID), 0, GRID - 1).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(at), b.column(0)], names=["bin", "y"])
 
     bins = (few.select("y", "fold", "stats").mapInArrow(scored, "bin int, y double")
             .groupBy("bin").agg(F.count(F.lit(1)).alias("w"), F.avg("y").alias("y")).orderBy("bin").collect())
@@ -221,10 +223,10 @@ def score_documents(docs: DataFrame, model: QualityModel, text_col: str = "text"
     rows = docs.select(*carry, F.col(text_col).cast("binary").alias("__t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column("__t").to_pylist()
-            x = np.array([document_stats(t) for t in texts]).reshape(len(texts), N_STATS)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in carry), pa.array(model.score(x), pa.float64())],
-                                             names=[*carry, out])
+        for whole in batches:
+            for b in blocks(whole):
+                x = np.array([document_stats(t.as_py()) for t in b.column("__t")]).reshape(b.num_rows, N_STATS)
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in carry), pa.array(model.score(x), pa.float64())],
+                                                 names=[*carry, out])
 
     return rows.mapInArrow(run, f"{fields}, `{out}` double")
