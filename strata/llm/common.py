@@ -29,13 +29,24 @@ DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 NULL_ID = 2**63 - 1          # order key of a null id: after every real id
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stage(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
-    back (the folder belongs to the platform, which also clears it)."""
+    back (the folder belongs to the platform, which also clears it).  With
+    ``batch_rows`` Python workers get at most that many rows at a time while it
+    is written: whole texts are copied several times on their way."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}/{name}"
     schema = df.schema
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    try:
+        if batch_rows:
+            spark.conf.set(ARROW_ROWS, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(schema).parquet(path)
 
 
