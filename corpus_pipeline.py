@@ -34,8 +34,7 @@ def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     SimHash component; of repeated rows one."""
     keyed = docs.withColumn("__k", id_key(F.col("doc_id"))).withColumn("__h", F.xxhash64("text"))
     groups = simhash_components(keyed, SHINGLE, MAX_BITS, carry=("__k", "__h"))
-    keep = (groups.groupBy(id_key(F.col("component_id")).alias("c")).agg(F.min(F.struct("__k", "__h")).alias("r"))
-            .select("r.*"))
+    keep = groups.groupBy("class").agg(F.min(F.struct("__k", "__h")).alias("r")).select("r.*")
     return keyed.join(keep, ["__k", "__h"]).dropDuplicates(["__k", "__h"]).select(docs.columns)
 
 
