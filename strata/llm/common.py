@@ -32,11 +32,20 @@ NULL_ID = 2**63 - 1          # order key of a null id: after every real id
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def stage(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+FILE_ROWS = 1_000_000
+
+
+def files_for(df: DataFrame) -> int:
+    """A file per million rows of ``df`` (a stored table): small tables of many rounds are not cut in many files."""
+    return 1 + df.count() // FILE_ROWS
+
+
+def stage(df: DataFrame, name: str, batch_rows: int | None = None, files: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back (the folder belongs to the platform, which also clears it).  With
     ``batch_rows`` Python workers get at most that many rows at a time while it
-    is written: whole texts are copied several times on their way."""
+    is written: whole texts are copied several times on their way.  With
+    ``files`` it is written by at most that many tasks."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}/{name}"
     schema = df.schema
@@ -44,7 +53,7 @@ def stage(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     try:
         if batch_rows:
             spark.conf.set(ARROW_ROWS, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
-        df.write.parquet(path)
+        (df.coalesce(files) if files else df).write.parquet(path)
     finally:
         spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(schema).parquet(path)

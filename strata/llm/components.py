@@ -20,11 +20,12 @@ def _star(pairs: DataFrame, keep) -> DataFrame:
     return pairs.join(least, "u").filter(keep)
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, files: int | None = None) -> DataFrame:
     """(node, component) for every node of ``links`` (src, dst); component is
-    the smallest node of the component.  Runs until nothing changes."""
+    the smallest node of the component.  Runs until nothing changes; each
+    round's edges are written to at most ``files`` files."""
     edges = stage(links.filter(F.col("src") != F.col("dst"))
-                  .select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "edges")
+                  .select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "edges", files=files)
     mark = None
     while True:
         both = edges.union(edges.select(F.col("v"), F.col("u")))
@@ -34,7 +35,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         small = (nearest.select("u", F.col("m").alias("v"))
                  .union(nearest.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")))
                  .filter("u != v").distinct())
-        edges = stage(small, "edges")
+        edges = stage(small, "edges", files=files)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == mark:
             return edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component") \

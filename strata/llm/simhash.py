@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_back, id_key, stage
+from .common import files_for, id_back, id_key, stage
 from .components import connected_components
 
 HOT = 64                 # fingerprints; a segment value with more of them is refined by one more segment
@@ -123,6 +123,7 @@ def simhash_links(fingerprints: DataFrame, max_bits: int = 2, segments: int = 4)
     if sum(comb(widest, n) for n in range(min(widest, max_bits) + 1)) > MOST_FLIPS:
         raise ValueError("the last segment's Hamming ball is too large: use more segments or fewer bits")
     key = ["bits", "part"]
+    files = files_for(fingerprints)
     table = probe = fingerprints.select(F.lit(0).cast("bigint").alias("bits"), F.lit(0).cast("bigint").alias("part"), "fp")
     found = []
     for level in range(segments):
@@ -133,12 +134,12 @@ def simhash_links(fingerprints: DataFrame, max_bits: int = 2, segments: int = 4)
         if not same:
             lists.append(_extend(probe, parts, left, max_bits, radius))
         if level:                                # a set of segments is reached in several orders
-            lists = [stage(x.distinct(), "keys") for x in lists]
+            lists = [stage(x.distinct(), "keys", files=files) for x in lists]
         table, probe = lists[0], lists[-1]
         last = level == segments - 1
         hot = None
         if not last:
-            hot = stage(table.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select(key), "hot")
+            hot = stage(table.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select(key), "hot", files=files)
             last = hot.isEmpty()
         cold = table if last else table.join(hot, key, "left_anti")
         met = probe.alias("p").join(cold.alias("t"), key)
@@ -162,7 +163,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seg
     fps = stage(simhash_fingerprints(docs, shingle, id_col, text_col, carry), "fingerprints", BATCH)
     distinct = stage(fps.groupBy("fp").agg(F.min(id_key(F.col(id_col))).alias("__least")), "distinct")
     links = simhash_links(distinct.select("fp"), max_bits, segments).select("src", "dst")
-    comp = connected_components(links).withColumnRenamed("node", "fp")          # linked fingerprints only
+    comp = connected_components(links, files_for(distinct)).withColumnRenamed("node", "fp")          # linked fingerprints only
     least = comp.join(distinct, "fp").groupBy("component").agg(F.min("__least").alias("__c"))
     classes = (distinct.join(comp.join(least, "component"), "fp", "left")
                .select("fp", F.coalesce("component", "fp").alias("class"), F.coalesce("__c", "__least").alias("__c")))
