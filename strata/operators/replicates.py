@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_order
 from .bijection import bijection_constants, positions
+from .draws import draw_blocks, weight_vectors
 from .kernels import BUCKET, bucketize, global_rank, key_splits, materialize
-from .resample import bootstrap_draws, valid_replicates
+from .resample import valid_replicates
 
 SLICE = 250
 CELLS = 1_000_000                    # of a (rows x replicates) matrix in a task
+HELD = 200_000                       # rows whose weights a task adds up before it passes them on
 
 
 # -- vector-weighted AUC -----------------------------------------------------
@@ -33,9 +35,23 @@ Expand = Callable[[pa.RecordBatch, np.ndarray], tuple[np.ndarray, np.ndarray]]
 Prepare = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def vector_histogram(df: DataFrame, score: str, expand: Expand, n_replicates: int, prepare: Prepare = iter) -> DataFrame:
-    """(slice, score, pos, neg): per distinct score of a task the weights of both classes,
-    a 64-bit integer per replicate of the slice.
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined to at least ``rows`` rows (the last one has the rest)."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def vector_histogram(df: DataFrame, score: str, expand: Expand, n_replicates: int, prepare: Prepare = iter,
+                     held: int = HELD) -> DataFrame:
+    """(slice, score, pos, neg): per distinct score of ``held`` rows of a task the weights of
+    both classes, a 64-bit integer per replicate of the slice.
 
     ``expand(batch, replicates)`` gives the rows' positive and negative weights
     (rows x replicates) for the replicate numbers of a slice; ``prepare`` may change
@@ -43,31 +59,45 @@ def vector_histogram(df: DataFrame, score: str, expand: Expand, n_replicates: in
     rows = df.withColumn("__score", F.col(score).cast("double"))
     replicates = [np.arange(a, min(a + SLICE, n_replicates)) for a in range(0, n_replicates, SLICE)]
 
+    def cells(k: int, score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(score), k), pa.int32()), pa.array(score),
+             pa.array([x.tobytes() for x in pos], pa.binary()), pa.array([x.tobytes() for x in neg], pa.binary())],
+            names=["slice", "score", "pos", "neg"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in prepare(batches):
-            step = max(1, CELLS // SLICE)
-            for at in range(0, whole.num_rows, step):
-                batch = whole.slice(at, step)
-                s = batch.column("__score").to_numpy()
-                order = np.argsort(s, kind="stable")
-                batch = batch.take(pa.array(order))
-                s = s[order]
-                first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-                for k, which in enumerate(replicates):
-                    pos, neg = (np.add.reduceat(m.astype(np.int64), first, axis=0) for m in expand(batch, which))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(first), k), pa.int32()), pa.array(s[first]),
-                         pa.array([x.tobytes() for x in pos], pa.binary()), pa.array([x.tobytes() for x in neg], pa.binary())],
-                        names=["slice", "score", "pos", "neg"])
+        step = max(1, CELLS // SLICE)
+        for whole in _gathered(prepare(batches), held):
+            s = whole.column("__score").to_numpy()
+            order = np.argsort(s, kind="stable")
+            whole, s = whole.take(pa.array(order)), s[order]
+            for k, which in enumerate(replicates):
+                last = None                              # the score that the next rows may go on with
+                for at in range(0, whole.num_rows, step):
+                    here = s[at:at + step]
+                    first = np.flatnonzero(np.concatenate(([True], here[1:] != here[:-1])))
+                    pos, neg = (np.add.reduceat(m, first, axis=0, dtype=np.int64) for m in expand(whole.slice(at, step), which))
+                    score = here[first]
+                    if last is not None and last[0][0] == score[0]:
+                        pos[0] += last[1][0]
+                        neg[0] += last[2][0]
+                    elif last is not None:
+                        yield cells(k, *last)
+                    if len(first) > 1:
+                        yield cells(k, score[:-1], pos[:-1], neg[:-1])
+                    last = score[-1:], pos[-1:], neg[-1:]
+                if last is not None:
+                    yield cells(k, *last)
 
     return rows.mapInArrow(run, "slice int, score double, pos binary, neg binary")
 
 
-def vector_auc(df: DataFrame, score: str, expand: Expand, n_replicates: int, prepare: Prepare = iter) -> DataFrame:
+def vector_auc(df: DataFrame, score: str, expand: Expand, n_replicates: int, prepare: Prepare = iter,
+               held: int = HELD) -> DataFrame:
     """(replicate, pos, neg, roc_auc): the weighted AUC of every replicate, ties a half."""
     splits = key_splits(df.select(F.col(score).cast("double").alias("s")).filter("s IS NOT NULL"), "s",
                         max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))))
-    hist = bucketize(vector_histogram(df, score, expand, n_replicates, prepare), "score", splits=splits)
+    hist = bucketize(vector_histogram(df, score, expand, n_replicates, prepare, held), "score", splits=splits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state = None, None
@@ -158,6 +188,7 @@ def permutation_aucs(df: DataFrame, key: str, label: str, score: str, n_perm: in
     return vector_auc(ranked.select(F.col(score), "__rank"), score, expand, n_perm)
 
 
+HELD_VECTORS = 20_000                # rows with weight vectors that a task holds
 VECTOR_ROWS = 50_000                 # distinct (score, label) of a group that meet in one task
 
 
@@ -167,29 +198,13 @@ def bootstrap_aucs(df: DataFrame, group: str, label: str, score: str, n_boot: in
     rows (aggregated by group, score and label) meet sorted by group, a large group
     split over several tasks with a copy of its vector each."""
     reps, groups, n_groups = valid_replicates(df, group, label, n_boot, seed)
-    number = {r: k for k, r in enumerate(reps)}
     rows = (df.groupBy(group, F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("y"))
             .agg(F.count(F.lit(1)).alias("c")))
     parts = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / VECTOR_ROWS).cast("int").alias("parts"))
-    draws = bootstrap_draws(df.sparkSession, n_groups, reps, seed).groupBy("group_idx").agg(
-        F.collect_list(F.struct("rep", "weight")).alias("draws"))      # at most one per replicate
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for drawn in batch.column("draws").to_pylist():
-                vector = np.zeros(n_boot, np.int64)
-                for d in drawn or ():
-                    vector[number[d["rep"]]] = d["weight"]
-                if vector.max(initial=0) > 0xFFFF:
-                    raise ValueError("a group was drawn more than 65535 times in one replicate")
-                out.append(vector.astype(np.uint16).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), batch.column("parts")],
-                                             names=[group, "vector", "parts"])
-
-    kind = df.schema[group].dataType.simpleString()
-    vectors = (groups.join(draws, "group_idx", "left").join(parts, group).select(group, "draws", "parts")
-               .mapInArrow(pack, f"`{group}` {kind}, vector binary, parts int"))
+    drawn = weight_vectors(draw_blocks(df.sparkSession, n_groups, reps, seed), reps, n_groups)
+    none = F.lit(bytearray(2 * n_boot))
+    vectors = (groups.join(drawn, "group_idx", "left").join(parts, group)
+               .select(group, F.coalesce("vector", none).alias("vector"), "parts"))
     vectors = vectors.select(group, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("is_row"),
                              "vector", F.lit(None).cast("double").alias("score"), F.lit(None).cast("int").alias("y"),
                              F.lit(None).cast("bigint").alias("c"))
@@ -221,4 +236,4 @@ def bootstrap_aucs(df: DataFrame, group: str, label: str, score: str, n_boot: in
 
     back = F.element_at(F.array(*[F.lit(r) for r in reps]), (F.col("replicate") + 1).cast("int")) if reps != list(range(n_boot)) \
         else F.col("replicate")
-    return vector_auc(stream, "score", expand, n_boot, prepare).select(back.cast("bigint").alias("rep"), "pos", "neg", "roc_auc")
+    return vector_auc(stream, "score", expand, n_boot, prepare, HELD_VECTORS).select(back.cast("bigint").alias("rep"), "pos", "neg", "roc_auc")
