@@ -36,29 +36,54 @@ def halves(n: int) -> tuple[int, int]:
     return a, -(-n // a)
 
 
-def _step(x, b, constants, a: int, c: int, div):
-    left, right = div(x, c), x % c
-    for i, (t1, t2, t3, s1, s2, s3) in enumerate(constants):
-        key = ((b + t1) * (b + t1) % PRIME * t2 + t3) % PRIME % HALF
-        half = right if i % 2 == 0 else left
-        mixed = half + key + s1
-        mixed = (mixed * mixed % PRIME * s2 + s3) % PRIME
+def _keys(b: np.ndarray, constants) -> list[np.ndarray]:
+    """Per round what a replicate adds to a half."""
+    return [((b + t1) * (b + t1) % PRIME * t2 + t3) % PRIME % HALF + s1 for t1, t2, t3, s1, _, _ in constants]
+
+
+def _mod(x: np.ndarray, d: int) -> np.ndarray:
+    """x % d of non-negative integers; division by one number is much faster than the remainder."""
+    return x - x // d * d
+
+
+def _mod_prime(x: np.ndarray) -> np.ndarray:
+    """x % PRIME for 0 <= x < 2**62, by folding (PRIME is 2**31 - 1)."""
+    x = (x & PRIME) + (x >> 31)
+    x = (x & PRIME) + (x >> 31)
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _step(x, keys, constants, a: int, c: int):
+    left = x // c
+    right = x - left * c
+    for i, (key, (*_, s2, s3)) in enumerate(zip(keys, constants, strict=True)):
+        mixed = (right if i % 2 == 0 else left) + key
+        mixed = _mod_prime(_mod_prime(mixed * mixed) * s2 + s3)
         if i % 2 == 0:
-            left = (left + mixed) % a
+            left = _mod(left + mixed, a)
         else:
-            right = (right + mixed) % c
+            right = _mod(right + mixed, c)
     return left * c + right
 
 
+TILE = 32_768                        # cells that are worked on together, in the processor's cache
+
+
 def positions(ranks: np.ndarray, replicates: np.ndarray, n: int, constants) -> np.ndarray:
     """(rows x replicates): where each replicate sends each rank of 0..n-1."""
     a, c = halves(n)
-    b = np.broadcast_to(replicates.astype(np.int64)[None], (len(ranks), len(replicates)))
-    x = _step(ranks.astype(np.int64)[:, None] + 0 * b, b, constants, a, c, np.floor_divide)
-    out = x >= n
-    while out.any():                                     # walk the cycle back into the domain
-        x[out] = _step(x[out], b[out], constants, a, c, np.floor_divide)
-        out = x >= n
+    keys = _keys(replicates.astype(np.int64), constants)          # once per replicate, not per cell
+    ranks = ranks.astype(np.int64)[:, None]
+    x = np.empty((len(ranks), len(replicates)), np.int64)
+    rows = max(1, TILE // max(1, len(replicates)))
+    for at in range(0, len(ranks), rows):
+        x[at:at + rows] = _step(np.broadcast_to(ranks[at:at + rows], x[at:at + rows].shape), keys, constants, a, c)
+    row, of = np.nonzero(x >= n)
+    while len(row):                                      # walk the cycle back into the domain
+        moved = _step(x[row, of], [k[of] for k in keys], constants, a, c)
+        x[row, of] = moved
+        out = moved >= n
+        row, of = row[out], of[out]
     return x
 
 
