@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..functions.exprs import binary01, num
 from ..specs import (ASSESSMENT_WINDOW, COMPOSITE_DURATION_SEC, COMPOSITE_MIN_COMPONENTS,
                      COMPOSITE_REPOSITIONS, ORDINAL_CUT, ORDINAL_MAX, ORDINAL_MIN,
                      SURVIVAL_HORIZON_DAYS)
+from .kernels import materialize
 from .validate import _finding, _long
 
 
@@ -227,13 +230,23 @@ def ordinal_findings(df: DataFrame, value: str = "mrs_90d", lo: int = ORDINAL_MI
 def label_concordance(df: DataFrame, supplied: str, derived: str, key: str,
                       first: int = 10) -> DataFrame:
     """Rows where both labels are known and differ: the count and the
-    first ``first`` row keys (top-k by key, no global sort)."""
+    first ``first`` row keys.  The rows are read once: each task gives its count
+    and its own first keys, of which the first overall are taken."""
     a, b = binary01(df, supplied), F.col(derived)
     mism = df.filter(a.isNotNull() & b.isNotNull() & (a != b))
-    n = mism.agg(F.count(F.lit(1)).cast("bigint").alias("n_mismatch")) \
-        .withColumn("k", F.lit(None).cast("string"))
-    ids = (mism.select(F.col(key).cast("string").alias("k")).orderBy("k").limit(first)
-           .withColumn("n_mismatch", F.lit(None).cast("bigint")))
+
+    def part(batches):
+        n, keys = 0, []
+        for batch in batches:
+            n += batch.num_rows
+            own = pc.array_sort_indices(batch.column(0), null_placement="at_start").slice(0, first)
+            keys = sorted([*keys, *batch.column(0).take(own).to_pylist()], key=lambda k: (k is not None, k))[:first]
+        yield pa.RecordBatch.from_arrays([pa.array([n, *[None] * len(keys)], pa.int64()), pa.array([None, *keys], pa.string()),
+                                          pa.array([False, *[True] * len(keys)])], names=["n", "k", "is_key"])
+
+    parts = materialize(mism.select(F.col(key).cast("string").alias("k")).mapInArrow(part, "n bigint, k string, is_key boolean"))
+    n = parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_mismatch")).withColumn("k", F.lit(None).cast("string"))
+    ids = parts.filter("is_key").select("k").orderBy("k").limit(first).withColumn("n_mismatch", F.lit(None).cast("bigint"))
     keys = F.array_sort(F.collect_list("k"))
     return n.unionByName(ids).agg(
         F.max("n_mismatch").alias("n_mismatch"),

@@ -90,3 +90,18 @@ def test_label_concordance(spark):
     df = _rows(spark, [("a", 1, 0), ("b", 1, 1), ("c", 0, 1), ("d", None, 1)], "k string, s int, d int")
     r = labels.label_concordance(df, "s", "d", "k").first()
     assert (r.n_mismatch, r.first_keys) == (2, "a,c")
+
+
+def test_label_concordance_reads_the_rows_once(spark, tmp_path):
+    rows = [(None if k % 50 == 49 else f"k{k:03}", k % 2, 1 - k % 2) for k in range(200)] + [("k000", 0, 1)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = _rows(spark, rows, "k string, s int, d int").repartition(5).mapInArrow(count, "k string, s int, d int")
+    r = labels.label_concordance(df, "s", "d", "k").first()
+    assert (r.n_mismatch, r.first_keys) == (201, "k000,k000,k001,k002,k003,k004")      # null keys come first
+    assert seen.value == len(rows)
