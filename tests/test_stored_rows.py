@@ -1,0 +1,62 @@
+"""The rows of a grouped fit are derived once, and few fold fits share the executors' memory."""
+
+from __future__ import annotations
+
+import threading
+import time
+
+from strata.operators import models
+from strata.operators.kernels import store
+from strata.specs import ModelSpec
+
+N = 240
+SPEC = ModelSpec("m", "y", ("a", "b", "c"), categorical=("c",))
+
+
+def _counted(spark):
+    """Rows that add one to a counter each time one of them is derived."""
+    seen = spark.sparkContext.accumulator(0)
+    rows = [(f"k{i}", f"g{i % 60}", None if i % 11 == 0 else float(i * 7 % 23), float(i % 5), "uv"[i % 2],
+             int(i * 7 % 23 + i % 5 > 13)) for i in range(N)]
+    df = spark.createDataFrame(rows, "study_case_id string, study_patient_id string, a double, b double, c string, y int")
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(run, df.schema), seen
+
+
+def test_store_keeps_rows_and_types(spark):
+    df = spark.createDataFrame([(1, None, "x"), (None, 2.5, None), (1, None, "x")], "i int, d double, s string")
+    got = store(df)
+    assert got.dtypes == df.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+
+
+def test_grouped_fit_derives_its_rows_once_and_runs_few_fits_at_a_time(spark):
+    active, peak, lock = 0, 0, threading.Lock()
+    inner = models.elastic_net(max_iter=2)
+
+    class Slow:
+        def __init__(self, n):
+            self.est = inner(n)
+
+        def fit(self, df):
+            nonlocal active, peak
+            with lock:
+                active += 1
+                peak = max(peak, active)
+            time.sleep(1)
+            try:
+                return self.est.fit(df)
+            finally:
+                with lock:
+                    active -= 1
+
+    df, seen = _counted(spark)
+    fit = models.train_grouped_binary(df, SPEC, Slow, k=4)
+    assert seen.value == N
+    assert fit.oof.count() == N
+    assert peak <= 2
