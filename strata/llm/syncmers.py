@@ -37,58 +37,47 @@ def symbols(text) -> F.Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"(?<!\S)\S{{1,{MAX_SYMBOL}}}(?!\S)|\S"), F.lit(0))
 
 
-def _drop(array, n: int) -> F.Column:
-    """``array`` without its first ``n`` elements (empty if it has fewer)."""
-    return F.slice(array, n + 1, F.greatest(F.size(array) - n, F.lit(0)))
+def _run(arrays: dict[int, F.Column], size: int, at) -> F.Column:
+    """Hash of the run of ``size`` symbols at place ``at``: two runs of the greatest
+    power of two below it, overlapped; ``arrays`` has the hashes of some sizes."""
+    if size in arrays:
+        return F.get(arrays[size], at)
+    half = 1 << ((size - 1).bit_length() - 1)
+    return F.xxhash64(_run(arrays, half, at), _run(arrays, half, at + (size - half)))
 
 
-def _take(array, n: int) -> F.Column:
-    """``array`` without its last ``n`` elements."""
-    return F.slice(array, 1, F.greatest(F.size(array) - n, F.lit(0)))
+def _least(values: list) -> F.Column:
+    return F.least(*values) if len(values) > 1 else values[0]
 
 
-def _pairs(a, b, fn) -> F.Column:
-    """``fn`` over the elements of two arrays, as far as both go."""
-    return F.zip_with(a, b, fn)
-
-
-def with_anchors(df: DataFrame, text, name: str, k: int = K, s: int = S) -> DataFrame:
-    """Add ``name``: array<struct<pos:int,hash:bigint>> of the closed syncmers
-    of ``text`` (a column).  Each step is one pass over the symbols."""
+def with_anchors(df: DataFrame, text, name: str, k: int = K, s: int = S) -> tuple[DataFrame, dict, F.Column, object]:
+    """Add, under the names returned second, the symbol hashes of ``text`` (a column)
+    and those of all runs of ``s`` symbols.  Third is the array of the places (from 0)
+    of its closed syncmers, fourth the function from a place to its anchor hash, which
+    is so computed for anchors alone."""
     if not 1 < s < k:
         raise ValueError("1 < s < k")
-    c = {x: f"__{name}_{x}" for x in ("w", "s", "m", "e", "k")}
+    c = {x: f"__{name}_{x}" for x in ("w", "s")}
     df = df.withColumn(c["w"], F.transform(symbols(text), lambda x: F.xxhash64(x)))
+    w = F.col(c["w"])
+    starts = F.slice(w, 1, F.greatest(F.size(w) - (s - 1), F.lit(0)))
+    df = df.withColumn(c["s"], F.transform(starts, lambda x, i: _run({1: w}, s, i)))
+    arrays, last = {1: w, s: F.col(c["s"])}, k - s
+
+    def closed(at):
+        inner = [F.get(arrays[s], at + j) for j in range(1, last)]
+        edge = F.least(F.get(arrays[s], at), F.get(arrays[s], at + last))
+        return edge <= _least(inner) if inner else F.lit(True)
 
-    def rolled(column, size: int):
-        """Hashes of runs of ``size`` symbols: runs of powers of two, overlapped."""
-        have, out = 1, column
-        while have < size:
-            step = min(have, size - have)
-            out = _pairs(_take(out, step), _drop(out, step), lambda a, b: F.xxhash64(a, b))
-            have += step
-        return out
-
-    df = df.withColumn(c["s"], rolled(F.col(c["w"]), s))
-    df = df.withColumn(c["k"], rolled(F.col(c["w"]), k))
-    span, have, least = k - s + 1, 1, F.col(c["s"])
-    while have < span:                                   # sliding minimum by doubling
-        step = min(have, span - have)
-        least = _pairs(_take(least, step), _drop(least, step), lambda a, b: F.least(a, b))
-        have += step
-    df = df.withColumn(c["m"], least)
-    edge = _pairs(_take(F.col(c["s"]), span - 1), _drop(F.col(c["s"]), span - 1), lambda a, b: F.least(a, b))
-    df = df.withColumn(c["e"], edge)
-    anchors = F.filter(F.zip_with(F.zip_with(F.col(c["m"]), F.col(c["e"]), lambda a, b: a == b), F.col(c["k"]),
-                                  lambda ok, h: F.when(ok, h)), lambda h: h.isNotNull())
-    return df, c, anchors
+    places = F.when(F.size(w) >= k, F.sequence(F.lit(0), F.size(w) - k)).otherwise(F.array().cast("array<int>"))
+    return df, c, F.filter(places, closed), lambda at: _run(arrays, k, at)
 
 
 def _sketch(df: DataFrame, text, name: str, k: int, s: int, sketch: int) -> DataFrame:
     """Add ``name``: the sorted smallest distinct anchor hashes (32 bits)."""
-    df, c, anchors = with_anchors(df, text, name, k, s)
-    low = F.transform(anchors, lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF)))
-    df = df.withColumn(name, F.slice(F.array_sort(F.array_distinct(low)), 1, sketch))
+    df, c, places, anchor = with_anchors(df, text, name, k, s)
+    low = F.transform(places, lambda at: anchor(at).bitwiseAND(F.lit(0xFFFFFFFF)))
+    df = df.withColumn(name, F.slice(F.sort_array(F.array_distinct(low)), 1, sketch))
     w = F.col(c["w"])
     whole = F.aggregate(w, F.size(w).cast("bigint"), lambda a, x: F.xxhash64(a, x)).bitwiseAND(F.lit(0xFFFFFFFF))
     df = df.withColumn(name, F.when((F.size(name) == 0) & (F.size(w) > 0), F.array(whole)).otherwise(F.col(name)))
@@ -101,7 +90,7 @@ def fingerprint_text(sketch) -> F.Column:
 
 def likeness(a, b, sketch: int = SKETCH) -> F.Column:
     """Estimated Jaccard of two sketches."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, sketch)
+    union = F.slice(F.sort_array(F.array_union(a, b)), 1, sketch)
     common = F.size(F.array_intersect(F.array_intersect(union, a), b))
     return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(common / F.size(union))
 
@@ -115,10 +104,9 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "sketch", k
 def anchor_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K,
                      s: int = S) -> DataFrame:
     """(id, pos, hash): every anchor with its symbol position."""
-    df, c, _ = with_anchors(docs.select(id_col, F.col(text_col).alias("__text")), F.col("__text"), "a", k, s)
-    closed = F.zip_with(F.col(c["m"]), F.col(c["e"]), lambda a, b: a == b)
-    return (df.select(id_col, F.posexplode(F.zip_with(closed, F.col(c["k"]), lambda ok, h: F.when(ok, h)))
-                      .alias("pos", "hash")).filter("hash is not null"))
+    df, _, places, anchor = with_anchors(docs.select(id_col, F.col(text_col).alias("__text")), F.col("__text"), "a", k, s)
+    return df.select(id_col, F.explode(F.transform(places, lambda at: F.struct(at.alias("pos"), anchor(at).alias("hash"))))
+                     .alias("a")).select(id_col, "a.pos", "a.hash")
 
 
 def matched_offsets(left: DataFrame, right: DataFrame, pair: list[str]) -> DataFrame:
@@ -144,8 +132,8 @@ def next_document(docs: DataFrame, id_col: str, text_col: str, derive=lambda df:
     """``derive(docs)`` with, for each ``lead`` entry (column -> new name), the
     value that the next document (ascending id) has.  Rows are cut into buckets
     of neighbouring ids at quantiles, so one shuffle and short per-bucket
-    windows do it; the rows at bucket ends get the first row of the next
-    bucket, of which there is one per bucket.  ``derive`` must be row-wise."""
+    windows do it; the first row of the next bucket, one per bucket, stands
+    at the end of each bucket.  ``derive`` must be row-wise."""
     lead = lead or {text_col: f"next_{text_col}"}
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63)))
     docs = docs.withColumn("__key", key).withColumn("__th", F.xxhash64(text_col))
@@ -159,16 +147,15 @@ def next_document(docs: DataFrame, id_col: str, text_col: str, derive=lambda df:
              .select("__bucket", "h.*").orderBy("__bucket").collect())        # one row per bucket
     follow = [(heads[i - 1]["__bucket"], h["__key"], h["__th"]) for i, h in enumerate(heads)]
     starts = docs.sparkSession.createDataFrame(follow, "__of int, __key bigint, __th bigint")
-    firsts = derive(docs.drop("__bucket").join(F.broadcast(starts), ["__key", "__th"]).withColumnRenamed("__of", "__bucket"))
-    firsts = (firsts.select("__bucket", *[F.struct(F.col(c).alias("v")).alias(f"__first_{s}") for c, s in lead.items()])
+    firsts = (docs.drop("__bucket").join(F.broadcast(starts), ["__key", "__th"]).withColumnRenamed("__of", "__bucket")
               .dropDuplicates(["__bucket"]))
-    order = Window.partitionBy("__bucket").orderBy("__key", "__th")
-    rows = derive(docs).select("*", *[F.lead(F.struct(F.col(c).alias("v"))).over(order).alias(f"__next_{s}")
-                                      for c, s in lead.items()])
-    rows = rows.join(firsts, "__bucket", "left")
-    for s in lead.values():
-        rows = rows.withColumn(s, F.coalesce(f"__next_{s}", f"__first_{s}").getField("v"))
-    return rows.drop("__key", "__th", "__bucket", *[f"__{x}_{s}" for s in lead.values() for x in ("next", "first")])
+    # the row that follows a bucket stands at its end: a join by bucket would hand the optimizer the formula of
+    # __bucket, whose lambda it may infer as a filter of the other side, where __key does not exist
+    rows = (derive(docs).withColumn("__last", F.lit(0))
+            .unionByName(derive(firsts).withColumn("__last", F.lit(1))))
+    order = Window.partitionBy("__bucket").orderBy("__last", "__key", "__th")
+    rows = rows.select("*", *[F.lead(F.col(c)).over(order).alias(s) for c, s in lead.items()])
+    return rows.filter("__last = 0").drop("__key", "__th", "__bucket", "__last")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S,

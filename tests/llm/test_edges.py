@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from strata.llm import queries as q
 from strata.llm.hilbert import write_shards
-from strata.llm.syncmers import fingerprints, likeness
+from strata.llm.syncmers import anchor_positions, fingerprints, likeness, next_document
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, m string, fp bigint, component string"
 LONG = " ".join(f"w{i % 977} x{i}" for i in range(30_000))
@@ -119,3 +119,36 @@ def test_long_conversations_are_streamed(spark, odd, monkeypatch, limit):
     monkeypatch.setattr(q, "_chat_digests", lambda read: gathered.append(read.select("conv_id")) or rows(read))
     assert sorted(map(str, q.op2_chat_formatting(spark, odd).collect())) == whole
     assert not {r.conv_id for g in gathered for r in g.collect()} & {5, 6}
+
+
+def test_next_document_over_bucket_ends(spark):
+    """The first row of the next bucket follows a bucket's last one, without a join by the bucket's formula: on
+    0.6 GB the optimizer put that formula on the side of the join that lacks its column."""
+    rows = [(None if i % 10 == 0 else i // 2, None if i % 7 == 0 else f"t{i} " * (i % 5)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id bigint, text string")
+    order = sorted(docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect(),
+                   key=lambda r: (-(2**63) if r.doc_id is None else r.doc_id, r.h))
+    want = [(r.doc_id, r.text, n.text) for r, n in zip(order, order[1:] + order[:1], strict=True)]
+    for size in (4, 1000):
+        got = next_document(docs, "doc_id", "text", rows_per_bucket=size)
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Join" in x and "__bucket" in x]
+
+
+def test_anchors_by_definition(spark):
+    """Closed syncmers and their hashes, symbol by symbol, for several lengths."""
+    words = [f"w{(i * i) % 23}" for i in range(90)]
+    docs = spark.createDataFrame([(n, " ".join(words[:n])) for n in (0, 3, 5, 6, 90)], "doc_id bigint, text string")
+    for k, s in ((5, 2), (4, 3), (7, 3), (8, 2)):
+        got = {(r.doc_id, r.pos) for r in anchor_positions(docs, k=k, s=s).collect()}
+        run = "xxhash64(x[i], x[i + 1])" if s == 2 else "xxhash64(xxhash64(x[i], x[i + 1]), xxhash64(x[i + 1], x[i + 2]))"
+        hashes = docs.selectExpr("doc_id", "transform(filter(split(text, ' '), w -> w != ''), w -> xxhash64(w)) AS x").selectExpr(
+            "doc_id", f"CASE WHEN size(x) >= {s} THEN transform(sequence(0, size(x) - {s}), i -> {run}) ELSE array() END AS h")
+        want = set()
+        for i, h in hashes.collect():
+            for p in range(len(h) - (k - s)):
+                inner = h[p:p + k - s + 1]
+                if min(inner) in (inner[0], inner[-1]):
+                    want.add((i, p))
+        assert got == want
