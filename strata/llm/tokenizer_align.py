@@ -19,7 +19,7 @@ moved, and a pair that every document holds is a row per container.
 
 Both tokenizers work on each word and the space before it alone (checked on the
 models; others are given whole texts), so words are encoded and aligned once and
-remembered, up to ``MEMORY`` of them in a worker.
+remembered, about ``MEMORY`` of them in a worker, those met last.
 
 Defined results: a text that is null, empty or not given back exactly by both
 tokenizers has no tokens: zeros and an empty alignment.  Repeated rows are documents
@@ -30,7 +30,9 @@ kept as distinct id pairs with multiplicities, so a long group of few ids is sma
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +42,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from .common import stage
+from .common import Memory, stage
 from .sp_codec import SPACE, Model, _slices
 
 POSTINGS = 2_000_000
 CONTAINER = 1 << 16
 SPARSE = CONTAINER // 16 - 1         # members up to which 16-bit numbers are shorter than the bits
 MEMORY = 250_000
+BLANK = re.compile(r" (?:\s|\Z)")    # an empty part, or one that starts with white space
 B_BITS = 24                          # of a pair: A id, then B id
 
 
@@ -79,8 +82,9 @@ class Aligner:
                         else self.b.id_to_piece(i).replace(SPACE, " ").encode() for i in range(self.b.vocab_size())]
         self.a_width = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_width = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_text = [f"{i}{end}".encode() for i in range(len(self.a_bytes)) for end in ",|"]
-        self.b_text = [f"{i}{end}".encode() for i in range(len(self.b_bytes)) for end in ",;"]
+        self.a_text = np.array([f"{i}{end}".encode() for i in range(len(self.a_bytes)) for end in ",|"], object)
+        self.b_text = np.array([f"{i}{end}".encode() for i in range(len(self.b_bytes)) for end in ",;"], object)
+        self.a_digits, self.b_digits = (np.array([len(x) for x in y], np.int64) for y in (self.a_text, self.b_text))
         spec = json.loads(a_file)
         self.by_word = (spec["normalizer"] is None and spec["pre_tokenizer"] ==
                         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
@@ -89,7 +93,7 @@ class Aligner:
             self.by_word &= bool(own.dummy) and not own.squeeze and not own.map.firsts
         except ValueError:                                    # a kind of model whose words are not apart
             self.by_word = False
-        self.known: dict[str, tuple | None] = {}
+        self.known = Memory(MEMORY)
 
     # -- words ---------------------------------------------------------------
     def words(self, text: str) -> list[str]:
@@ -98,7 +102,7 @@ class Aligner:
         if not self.by_word:
             return [text]
         parts = text.split(" ")
-        if "" not in parts and not any(p[0].isspace() for p in parts):
+        if not text[0].isspace() and not BLANK.search(text):
             return parts
         out, before = [], ""
         for k, p in enumerate(parts):
@@ -109,38 +113,40 @@ class Aligner:
             before = p
         return out
 
-    def _a_ids(self, words: list[str]) -> list[np.ndarray]:
-        """A's ids of each word; visible words are encoded as one text and cut at
-        their byte ends."""
-        if not self.by_word:
-            return [np.array(self.a.encode(" " + w, add_special_tokens=False).ids, np.int64) for w in words]
-        joint = [k for k, w in enumerate(words) if w and not w[0].isspace() and not w[-1].isspace()]
-        out: list[np.ndarray | None] = [None] * len(words)
+    def _a_ids(self, words: list[str], joint: int) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of the words and how many each has; the first ``joint`` words are
+        encoded as one text and cut at their byte ends."""
         if joint:
-            ids = np.array(self.a.encode(" " + " ".join([words[k] for k in joint]), add_special_tokens=False).ids, np.int64)
+            ids = np.array(self.a.encode(" " + " ".join(words[:joint]), add_special_tokens=False).ids, np.int64)
             ends = np.cumsum(self.a_width[ids])
-            want = np.cumsum([1 + len(words[k].encode()) for k in joint])
+            want = np.cumsum(_sizes(words[:joint]))
             at = np.searchsorted(ends, want)
-            if at[-1] < len(ends) and (ends[at] == want).all():
-                for k, part in zip(joint, np.split(ids, at[:-1] + 1), strict=True):
-                    out[k] = part
-        return [np.array(self.a.encode(" " + w, add_special_tokens=False).ids, np.int64) if x is None else x
-                for w, x in zip(words, out, strict=True)]
+            if at[-1] == len(ends) - 1 and (ends[at] == want).all():
+                rest, n = self._a_ids(words[joint:], 0)
+                return np.concatenate([ids, rest]), np.concatenate([np.diff(at, prepend=-1), n])
+        own = [self.a.encode(" " + w, add_special_tokens=False).ids for w in words]
+        return _flat(own)
 
-    def align(self, words: list[str]) -> list[tuple | None]:
+    def align(self, words: list[str]) -> list[tuple | bool]:
         """Per word (A tokens, B tokens, groups, links, alignment as text, linked
-        pairs, their multiplicities); None where the bytes are not given back."""
-        a = self._a_ids(words)
-        b = [np.array(x, np.int64) for x in self.b.encode(words, num_threads=1)]
-        same = [b"".join([self.a_bytes[i] for i in x.tolist()]) == (" " + w).encode() == b"".join([self.b_bytes[i] for i in y.tolist()])
-                for w, x, y in zip(words, a, b, strict=True)]
-        out: list[tuple | None] = [None] * len(words)
-        good = [k for k, ok in enumerate(same) if ok]
-        if not good:
+        pairs, their multiplicities); False where the bytes are not given back."""
+        place = range(len(words))
+        if self.by_word:                                      # visible words first
+            seen = [bool(w) and not w[0].isspace() and not w[-1].isspace() for w in words]
+            place = [k for k, x in enumerate(seen) if x] + [k for k, x in enumerate(seen) if not x]
+            words = [words[k] for k in place]
+        ia, n_a = self._a_ids(words, sum(seen) if self.by_word else 0)
+        ib, n_b = _flat(self.b.encode(words, num_threads=1))
+        out: list[tuple | bool] = [False] * len(words)
+        good = self._given_back(words, ia, n_a, ib, n_b)
+        if not good.any():
             return out
-        ia, ib = np.concatenate([a[k] for k in good]), np.concatenate([b[k] for k in good])
+        if not good.all():
+            ia, ib = ia[np.repeat(good, n_a)], ib[np.repeat(good, n_b)]
+            n_a, n_b = n_a[good], n_b[good]
         ends_a, ends_b = np.cumsum(self.a_width[ia]), np.cumsum(self.b_width[ib])
-        cut = np.intersect1d(ends_a, ends_b)
+        cut = ends_a[ends_b[np.minimum(np.searchsorted(ends_b, ends_a), len(ends_b) - 1)] == ends_a]
+        cut = cut[np.concatenate(([True], cut[1:] != cut[:-1]))]
         ga, gb = np.searchsorted(cut, ends_a), np.searchsorted(cut, ends_b)
         na, nb = np.bincount(ga, minlength=len(cut)), np.bincount(gb, minlength=len(cut))
         sa, sb = np.cumsum(na) - na, np.cumsum(nb) - nb
@@ -150,9 +156,11 @@ class Aligner:
         last_a, last_b = np.zeros(len(ia), np.int64), np.zeros(len(ib), np.int64)
         last_a[sa + na - 1] = 1
         last_b[sb + nb - 1] = 1
-        codes[np.arange(len(ia)) + sb[ga]] = [self.a_text[k] for k in (2 * ia + last_a).tolist()]
-        codes[np.arange(len(ib)) + (sa + na)[gb]] = [self.b_text[k] for k in (2 * ib + last_b).tolist()]
-        codes = codes.tolist()
+        digits = np.empty(len(codes), np.int64)
+        for at, text, width, of in ((np.arange(len(ia)) + sb[ga], self.a_text, self.a_digits, 2 * ia + last_a),
+                                    (np.arange(len(ib)) + (sa + na)[gb], self.b_text, self.b_digits, 2 * ib + last_b)):
+            codes[at], digits[at] = text[of], width[of]
+        codes, ends_text = b"".join(codes.tolist()), np.cumsum(digits)
 
         # links: small groups by index arithmetic, others by their distinct ids
         many = na * nb > 64
@@ -173,41 +181,65 @@ class Aligner:
             order = np.argsort(g, kind="stable")
             pair, times, g = pair[order], times[order], g[order]
 
-        n_a, n_b = (np.array([len(x[k]) for k in good]) for x in (a, b))
         to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
         groups = ga[to_a - 1] + 1                             # groups up to each word's end
-        to_link = np.searchsorted(g, groups)
+        to_link = 8 * np.searchsorted(g, groups)
         total = np.concatenate(([0], np.cumsum(na * nb)))[groups]
-        wa = wb = wg = wl = wt = 0
-        for j, k in enumerate(good):
-            ea, eb, eg, el, et = int(to_a[j]), int(to_b[j]), int(groups[j]), int(to_link[j]), int(total[j])
-            out[k] = (ea - wa, eb - wb, eg - wg, et - wt, b"".join(codes[wa + wb: ea + eb]),
-                      pair[wl:el].tobytes(), times[wl:el].tobytes())
-            wa, wb, wg, wl, wt = ea, eb, eg, el, et
+        pairs, counts = pair.tobytes(), times.tobytes()
+        wt = wl = 0
+        for k, a, b, n, links, et, el in zip(np.flatnonzero(good).tolist(), n_a.tolist(), n_b.tolist(), np.diff(groups, prepend=0).tolist(),
+                                             np.diff(total, prepend=0).tolist(), ends_text[to_a + to_b - 1].tolist(), to_link.tolist(), strict=True):
+            out[place[k]] = a, b, n, links, codes[wt:et], pairs[wl:el], counts[wl:el]
+            wt, wl = et, el
         return out
 
+    def _given_back(self, words: list[str], ia: np.ndarray, n_a: np.ndarray, ib: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        """Whether both tokenizers give the bytes of each word and the space before it."""
+        want = (" " + " ".join(words)).encode()
+        ends = np.cumsum(_sizes(words))
+        same, found = [], []
+        for ids, n, pieces, width in ((ia, n_a, self.a_bytes, self.a_width), (ib, n_b, self.b_bytes, self.b_width)):
+            found.append(b"".join([pieces[i] for i in ids.tolist()]))
+            same.append(np.concatenate(([0], np.cumsum(width[ids])))[np.cumsum(n)])
+        if found[0] == want == found[1] and (same[0] == ends).all() and (same[1] == ends).all():
+            return (n_a > 0) & (n_b > 0)
+        good = np.zeros(len(words), bool)
+        x = y = z = 0
+        for k, (a, b, e) in enumerate(zip(same[0].tolist(), same[1].tolist(), ends.tolist(), strict=True)):
+            good[k] = found[0][x:a] == want[z:e] == found[1][y:b]
+            x, y, z = a, b, e
+        return good
+
     def texts(self, texts: list[str | None]) -> Iterator[tuple | None]:
         """:meth:`align`'s tuple of whole texts."""
         cut = [self.words(t) if t else [] for t in texts]
-        known = self.known
-        new = list({w for words in cut for w in words if w not in known})
-        if len(known) + len(new) > MEMORY:
-            new = list({w for words in cut for w in words})
-            known.clear()
-        for k in range(0, len(new), 20_000):
-            part = new[k: k + 20_000]
-            known.update(zip(part, self.align(part), strict=True))
+        distinct = list({w for words in cut for w in words})
+        known = dict(zip(distinct, self.known.fetch(distinct, self._learn), strict=True))
+        if max(len(self.known.young), len(self.known.old)) > MEMORY or not self.by_word:
+            self.known = Memory(MEMORY)                       # one slice held more words than the memory may
+        whole = all(known.values())
         for t, words in zip(texts, cut, strict=True):
             parts = [known[w] for w in words]
-            if None in parts and len(words) > 1:              # judge the whole text
+            if not whole and False in parts and len(words) > 1:   # judge the whole text
                 parts = self.align([t])
-            if not parts or None in parts:
+            if not parts or not whole and False in parts:
                 yield None
                 continue
             n_a, n_b, groups, links, text, pairs, times = zip(*parts, strict=True)
             yield sum(n_a), sum(n_b), sum(groups), sum(links), b"".join(text)[:-1], b"".join(pairs), b"".join(times)
-        if len(known) > MEMORY or not self.by_word:           # one slice held more words than the memory may
-            known.clear()
+
+    def _learn(self, words: list[str]) -> Iterator[tuple | bool]:
+        for k in range(0, len(words), 20_000):
+            yield from self.align(words[k: k + 20_000])
+
+
+def _sizes(words: list[str]) -> np.ndarray:
+    """UTF-8 bytes of each word and the space before it."""
+    return np.fromiter([1 + (len(w) if w.isascii() else len(w.encode())) for w in words], np.int64, len(words))
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(chain.from_iterable(lists), np.int64), np.fromiter(map(len, lists), np.int64, len(lists))
 
 
 class _Container:

@@ -9,6 +9,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders
 
+from strata.llm import tokenizer_align
 from strata.llm.align_query import op11_tokenizer_alignment
 from strata.llm.tokenizer_align import SPARSE, align_documents, byte_alphabet, dense, members, multiplicities, planes
 
@@ -112,3 +113,21 @@ def test_byte_alphabet_decodes_as_the_library():
 
 def test_empty_table(spark):
     assert align_documents(spark.createDataFrame([], "doc_id bigint, text string"), A, B)[0].count() == 0
+
+
+def test_memory_keeps_words_met_again(spark, monkeypatch):
+    """A full memory drops the words that were not met lately, not those of every slice."""
+    monkeypatch.setattr(tokenizer_align, "MEMORY", 40)
+    with open(A, "rb") as f, open(B, "rb") as g:
+        aligner = tokenizer_align.Aligner(f.read(), g.read())
+    learnt, align = Counter(), aligner.align
+    monkeypatch.setattr(aligner, "align", lambda words: learnt.update(words) or align(words))
+    slices = [["the cat sat on the mat " + " ".join(f"w{k}x{j}" for j in range(15))] for k in range(30)]
+    fresh = []
+    for texts in slices:
+        fresh += list(aligner.texts(texts))
+    assert learnt["the"] == learnt["mat"] == 1
+    monkeypatch.setattr(tokenizer_align, "MEMORY", 10_000)
+    with open(A, "rb") as f, open(B, "rb") as g:
+        other = tokenizer_align.Aligner(f.read(), g.read())
+    assert fresh == list(other.texts([t for s in slices for t in s]))
