@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import DOC_COLUMNS, id_key, stage, table
+from strata.llm.common import BATCH, DOC_COLUMNS, id_key, stage, table
 from strata.llm.decontaminate import contaminated
 from strata.llm.quality import score_documents
 from strata.llm.queries import ACCEPT, MAX_BITS, MIN_WORDS, SHINGLE, quality_model, tokenizer_path
@@ -26,7 +26,7 @@ def _rest(docs: DataFrame) -> tuple[str, ...]:
 def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score >= ACCEPT)."""
     scored = score_documents(docs, quality_model(spark, docs, sf_dir), carry=tuple(docs.columns), out="__score")
-    return scored.filter(F.col("__score") >= ACCEPT).select(docs.columns)
+    return stage(scored.filter(F.col("__score") >= ACCEPT).select(docs.columns), "accepted", BATCH)
 
 
 def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,5 +73,5 @@ ORACLE_SQL = None
 def run(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(*DOC_COLUMNS)
     for k, (_, apply) in enumerate(STAGES):
-        docs = stage(apply(spark, docs, sf_dir), f"stage{k}")
+        docs = stage(apply(spark, docs, sf_dir), f"stage{k}", BATCH)
     return docs

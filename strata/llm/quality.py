@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, stage
+from .common import BATCH, blocks, stage
 
 MAX_ROWS = 100_000
 FEATURES, FOLDS, RIDGE, WIDTH, GRID, SEED = 256, 3, 1e-3, 1.0, 4096, 20
@@ -138,7 +138,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str
                                              names=["y", "fold", "stats"])
 
     return stage(rows.select("__t", "__y", "__fold").mapInArrow(run, "y double, fold int, stats array<double>"),
-                 "labelled")
+                 "labelled", BATCH)
 
 
 def _matrix(col) -> np.ndarray:
@@ -220,12 +220,13 @@ def score_documents(docs: DataFrame, model: QualityModel, text_col: str = "text"
                     out: str = "score") -> DataFrame:
     """(*carry, out double): the calibrated score of every whole text."""
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    rows = docs.select(*carry, F.col(text_col).cast("binary").alias("__t"))
+    own = text_col if text_col in carry else "__t"       # a carried text is sent once
+    rows = docs.select(*carry) if own in carry else docs.select(*carry, F.col(text_col).alias(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in blocks(whole):
-                x = np.array([document_stats(t.as_py()) for t in b.column("__t")]).reshape(b.num_rows, N_STATS)
+                x = np.array([document_stats(t.as_py()) for t in b.column(own).cast(pa.binary())]).reshape(b.num_rows, N_STATS)
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in carry), pa.array(model.score(x), pa.float64())],
                                                  names=[*carry, out])
 

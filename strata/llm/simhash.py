@@ -35,12 +35,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import files_for, id_back, id_key, stage
+from .common import BATCH, files_for, id_back, id_key, stage
 from .components import connected_components
 
 HOT = 64                 # fingerprints; a segment value with more of them is refined by one more segment
 MOST_FLIPS = 100_000     # values of one Hamming ball
-BATCH = 1_000            # texts sent to a Python worker at a time
 
 
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:

@@ -436,15 +436,16 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     with open(model_path, "rb") as f:
         blob = f.read()
     keep = [id_col, *carry]
-    rows = docs.select(*keep, F.col(text_col).alias("__text"))
+    own = text_col if text_col in keep else "__text"     # a carried text is sent once
+    rows = docs.select(*keep) if own in keep else docs.select(*keep, F.col(text_col).alias(own))
     ddl = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep),
                      "ids array<int>, span_start array<int>, span_end array<int>, decoded string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(blob)
         for whole in batches:
-            for b in _slices(whole, "__text"):
-                got = model.encode_all(b.column("__text"))
+            for b in _slices(whole, own):
+                got = model.encode_all(b.column(own))
                 decoded = [g[3] for g in got]
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c) for c in keep), *(_lists([g[k] for g in got]) for k in range(3)),

@@ -31,12 +31,14 @@ table gives an empty table.  Repeats inside one document stay.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RollingHash, WordHash, arrow_rows, id_key, mix64, signed, sliding_argmin, stage
+from .common import BATCH, RollingHash, WordHash, arrow_rows, blocks, id_key, mix64, signed, sliding_argmin, stage
 
 ANCHOR_WORDS = 16
 
@@ -132,7 +134,7 @@ def repeated_keys(docs: DataFrame, min_words: int, anchor_words: int, id_col: st
     """(ord, th, extensions array, windows array): per document the keys of its
     extensions and windows that also start in a document with a smaller id."""
     keyed = _once(_keyed(docs, id_col, text_col))
-    anchors = stage(anchor_rows(keyed, min_words, anchor_words), "anchors")
+    anchors = stage(anchor_rows(keyed, min_words, anchor_words), "anchors", BATCH)
     first = stage(anchors.groupBy("anchor", "extension")
                   .agg(F.min("ord").alias("m"), F.max("ord").alias("last"), F.min(F.struct("ord", "th")).alias("rep"),
                        F.max(F.struct(-F.col("ord"), "th")).alias("other")),
@@ -166,7 +168,7 @@ def repeated_keys(docs: DataFrame, min_words: int, anchor_words: int, id_col: st
                          pa.array(np.full(len(a), h, np.int64))], names=["anchor", "win", "ord", "th"])
 
     opened = stage(keyed.select("ord", "th", "t").join(reps, ["ord", "th"]).select("ord", "th", "t", "open")
-                   .mapInArrow(_joined(windows), "anchor bigint, win bigint, ord bigint, th bigint"), "windows")
+                   .mapInArrow(_joined(windows), "anchor bigint, win bigint, ord bigint, th bigint"), "windows", BATCH)
     shared = (opened.groupBy("anchor", "win").agg(F.min("ord").alias("m"), F.max("ord").alias("last"))
               .filter("m < last").select("anchor", "win", "m"))
     single = (opened.join(shared, ["anchor", "win"]).filter("ord > m")
@@ -192,7 +194,8 @@ def substring_dedup(docs: DataFrame, min_words: int = 50, anchor_words: int = AN
     positions [start, end); ``kept_text`` joins the other words by a space.
     ``carry``: further input columns to pass through."""
     found = repeated_keys(docs, min_words, anchor_words, id_col, text_col)
-    keyed = docs.select(F.col(id_col), *carry, F.col(text_col).cast("binary").alias("__t"),
+    own = text_col if text_col in carry else "__t"       # a carried text is sent once
+    keyed = docs.select(F.col(id_col), *carry, *([] if own in carry else [F.col(text_col).alias(own)]),
                         id_key(F.col(id_col)).alias("__ord"), F.xxhash64(F.col(text_col)).alias("__th"))
     found = found.withColumnsRenamed({"ord": "__ord", "th": "__th", "exts": "__exts", "wins": "__wins"})
     rows = keyed.join(found, ["__ord", "__th"], "left").drop("__ord", "__th")
@@ -206,9 +209,10 @@ def substring_dedup(docs: DataFrame, min_words: int = 50, anchor_words: int = AN
 
     def run(batches):
         doc = Windows(min_words, anchor_words)
-        for b in batches:
+        for b in chain.from_iterable(map(blocks, batches)):
             out = []
-            for t, exts, wins in zip(*(b.column(c).to_pylist() for c in ("__t", "__exts", "__wins")), strict=True):
+            texts = b.column(own).cast(pa.binary()).to_pylist()
+            for t, exts, wins in zip(texts, *(b.column(c).to_pylist() for c in ("__exts", "__wins")), strict=True):
                 if not exts and not wins:
                     tokens = (t or b"").split()
                     out.append((len(tokens), 0, b" ".join(tokens).decode("utf-8", "replace"), [], []))

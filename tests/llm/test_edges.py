@@ -152,3 +152,17 @@ def test_anchors_by_definition(spark):
                 if min(inner) in (inner[0], inner[-1]):
                     want.add((i, p))
         assert got == want
+
+
+def test_texts_go_to_python_once(spark, odd):
+    """A carried text is not sent (and shuffled) a second time as bytes."""
+    docs = spark.read.parquet(f"{odd}/documents.parquet").select(*corpus_pipeline.DOC_COLUMNS)
+    rest = tuple(c for c in docs.columns if c != "doc_id")
+    model = q.quality_model(spark, docs, odd)
+    for out in (q.score_documents(docs, model, carry=tuple(docs.columns)), q.substring_dedup(docs, q.MIN_WORDS, carry=rest),
+                q.encode_documents(docs, q.tokenizer_path(), carry=("text",))):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "text" in out.columns and "__t" not in plan.split("MapInArrow")[1].split("\n")[0]
+        assert "AS __t#" not in plan.replace("__th", "") and "AS __text#" not in plan
+    plain = {(r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in q.substring_dedup(docs, q.MIN_WORDS).collect()}
+    assert plain == {(r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in q.substring_dedup(docs, q.MIN_WORDS, carry=rest).collect()}
