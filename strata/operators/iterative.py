@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -181,10 +182,23 @@ def _theta(params: np.ndarray, p: int) -> np.ndarray:
 
 
 def _ordinal_terms(pdf: pd.DataFrame, params: np.ndarray, p: int, K: int) -> tuple[float, np.ndarray]:
-    """Negative log-likelihood and gradient of a batch (thresholds as first
+    """:func:`_ordinal_sums` of a batch of rows (x0..x{p-1}, __cls)."""
+    return _ordinal_sums(pdf[[f"x{i}" for i in range(p)]].to_numpy(dtype=float), pdf["__cls"].to_numpy(dtype=int), params, p, K)
+
+
+def _packed(batches):
+    """Batches of (x0.., __cls) -> one row each: the features, column after column,
+    and the classes as bytes, which a pass reads without converting rows."""
+    for b in batches:
+        if b.num_rows:
+            *xs, y = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(np.asarray(x, float).tobytes() for x in xs)], pa.binary()),
+                                              pa.array([y.astype(np.int32).tobytes()], pa.binary())], names=["x", "y"])
+
+
+def _ordinal_sums(X: np.ndarray, y: np.ndarray, params: np.ndarray, p: int, K: int) -> tuple[float, np.ndarray]:
+    """Negative log-likelihood and gradient of rows (thresholds as first
     + cumulative exp increments, so they stay ordered)."""
-    X = pdf[[f"x{i}" for i in range(p)]].to_numpy(dtype=float)
-    y = pdf["__cls"].to_numpy(dtype=int)
     beta = params[:p]
     th = _theta(params, p)
     lp = X @ beta
@@ -213,8 +227,8 @@ def _ordinal_terms(pdf: pd.DataFrame, params: np.ndarray, p: int, K: int) -> tup
 def fit_ordered_logit(df: DataFrame, label: str, p: int, max_iter: int = 1000,
                       tol: float = 1e-6) -> OrderedLogitFit:
     """M6: proportional-odds logit by BFGS; every function/gradient
-    evaluation is one ``mapInPandas`` pass of per-partition partial sums
-    over the checkpointed design (x0..x{p-1}, label)."""
+    evaluation is one pass of per-partition partial sums over the design
+    (x0..x{p-1}, label), checkpointed in blocks of one Arrow batch."""
     levels = df.select(label).distinct().limit(MAX_LEVELS + 1).collect()   # bounded: ordinal levels
     if len(levels) > MAX_LEVELS:
         raise ConvergenceError(f"more than {MAX_LEVELS} ordinal levels in {label}")
@@ -223,9 +237,11 @@ def fit_ordered_logit(df: DataFrame, label: str, p: int, max_iter: int = 1000,
     if K < 2:
         raise ConvergenceError("need at least two observed classes")
     cmap = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i))])
-    base = materialize(df.select(*[f"x{i}" for i in range(p)], cmap[F.col(label)].alias("__cls")))
-    n = base.count()
-    counts = dict(base.groupBy("__cls").count().collect())
+    seen = dict(df.groupBy(label).count().collect())
+    counts = {i: seen.get(c, 0) for i, c in enumerate(classes)}
+    n = sum(counts.values())
+    base = materialize(df.select(*[f"x{i}" for i in range(p)], cmap[F.col(label)].alias("__cls"))
+                       .mapInArrow(_packed, "x binary, y binary"))
     cum = np.cumsum([counts.get(i, 0) for i in range(K)])[:-1] / n
     th0 = np.log(cum / (1 - cum))
     params = np.concatenate((np.zeros(p), [th0[0]], np.log(np.maximum(np.diff(th0), 1e-6))))
@@ -234,12 +250,14 @@ def fit_ordered_logit(df: DataFrame, label: str, p: int, max_iter: int = 1000,
     def evaluate(par: np.ndarray) -> tuple[float, np.ndarray]:
         def part(batches):
             tot, grad = 0.0, np.zeros(len(par))
-            for pdf in batches:
-                a, b = _ordinal_terms(pdf, par, p, K)
-                tot, grad = tot + a, grad + b
-            yield pd.DataFrame({"nll": [tot], **{f"g{i}": [grad[i]] for i in range(len(par))}})
-        r = base.mapInPandas(part, schema).agg(*[F.sum(c).alias(c) for c in
-                                                 ["nll"] + [f"g{i}" for i in range(len(par))]]).first()
+            for blocks in batches:
+                for x, y in zip(*blocks.columns, strict=True):
+                    X = np.frombuffer(x.as_buffer()).reshape(p, -1).T
+                    a, b = _ordinal_sums(X, np.frombuffer(y.as_buffer(), np.int32), par, p, K)
+                    tot, grad = tot + a, grad + b
+            yield pa.RecordBatch.from_pydict({"nll": [float(tot)], **{f"g{i}": [float(grad[i])] for i in range(len(par))}})
+        r = base.mapInArrow(part, schema).agg(*[F.sum(c).alias(c) for c in
+                                                ["nll"] + [f"g{i}" for i in range(len(par))]]).first()
         return r["nll"], np.array([r[f"g{i}"] for i in range(len(par))])
 
     f, g = evaluate(params)

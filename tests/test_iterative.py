@@ -66,3 +66,20 @@ def test_ordinal_gradient_and_fit(spark):
     assert np.allclose(fit.beta, beta, atol=0.15) and np.allclose(fit.thresholds, th, atol=0.2)
     probs = df.select(*fit.probability_columns(p)).toPandas().to_numpy()
     assert np.allclose(probs.sum(1), 1.0)
+
+
+def test_ordinal_passes_read_blocks(spark, monkeypatch):
+    """Each pass reads the design as blocks, not row by row, with the sums of the rows."""
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame(rng.normal(size=(500, 3)), columns=["x0", "x1", "x2"])
+    pdf["y"] = rng.integers(0, 3, 500) * 2                    # classes 0, 2, 4
+    kept, keep = [], iterative.materialize
+    monkeypatch.setattr(iterative, "materialize", lambda df: kept.append(keep(df)) or kept[-1])
+    fit = iterative.fit_ordered_logit(spark.createDataFrame(pdf).repartition(3), "y", 3)
+    assert kept[0].count() == 3 and fit.classes == [0, 2, 4]
+    got = [(np.frombuffer(r.x).reshape(3, -1).T, np.frombuffer(r.y, np.int32)) for r in kept[0].collect()]
+    raw = np.concatenate((fit.beta, fit.thresholds[:1], np.log(np.diff(fit.thresholds))))
+    rows = iterative._ordinal_terms(pdf.assign(__cls=pdf["y"] // 2), raw, 3, 3)
+    sums = [iterative._ordinal_sums(x, y, raw, 3, 3) for x, y in got]
+    assert np.isclose(sum(s[0] for s in sums), rows[0]) and np.isclose(fit.loglik, -rows[0])
+    assert np.allclose(sum(s[1] for s in sums), rows[1], atol=1e-8)
