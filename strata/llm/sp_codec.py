@@ -99,7 +99,7 @@ class Model:
         if any(self.space in p.lstrip(self.space) for p in self.ids):
             raise ValueError("a piece holds a space after another character: segments can't be cut there")
         self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
-        self.words = Memory(400_000)
+        self.words = Memory(250_000)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=blob)
         self.last_byte = max(self.byte_of, default=-1)
         self.memory = memory
@@ -444,7 +444,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(blob)
         for whole in batches:
-            for b in _slices(whole, own):
+            for b in _slices(whole, own, 2_000_000):
                 got = model.encode_all(b.column(own))
                 decoded = [g[3] for g in got]
                 yield pa.RecordBatch.from_arrays(
