@@ -203,7 +203,9 @@ def bootstrap_aucs(df: DataFrame, group: str, label: str, score: str, n_boot: in
     parts = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / VECTOR_ROWS).cast("int").alias("parts"))
     drawn = weight_vectors(draw_blocks(df.sparkSession, n_groups, reps, seed), reps, n_groups)
     none = F.lit(bytearray(2 * n_boot))
-    vectors = (groups.join(drawn, "group_idx", "left").join(parts, group)
+    # the planner takes the vectors for a column of the few replicate numbers that they were drawn from and would
+    # broadcast them all: sorted joins
+    vectors = (groups.join(drawn.hint("merge"), "group_idx", "left").join(parts.hint("merge"), group)
                .select(group, F.coalesce("vector", none).alias("vector"), "parts"))
     vectors = vectors.select(group, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("is_row"),
                              "vector", F.lit(None).cast("double").alias("score"), F.lit(None).cast("int").alias("y"),

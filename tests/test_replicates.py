@@ -107,3 +107,10 @@ def test_same_result_at_any_partitioning(scored):
     _, df = scored
     one = sorted(map(str, resample.permute_labels(df.coalesce(1), "key", "y", 4).collect()))
     assert one == sorted(map(str, resample.permute_labels(df.repartition(17), "key", "y", 4).collect()))
+
+
+def test_weight_vectors_are_never_broadcast(spark, scored):
+    _, df = scored
+    plan = bootstrap_aucs(df, "g", "y", "s", 40, resample.GLOBAL_SEED)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "group_idx" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
