@@ -99,3 +99,24 @@ def test_hot_key_gets_own_bucket_and_cindex_stays_exact(spark):
     assert 5.0 in splits and float(np.nextafter(5.0, np.inf)) in splits
     got = survival.concordance_index(df, [], n_blocks=8).first().c_index
     assert got == pytest.approx(brute_c(t, e, r), abs=1e-12)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 40, 257])
+def test_dominated_equals_all_pairs(n):
+    rng = np.random.default_rng(n)
+    k, v = rng.integers(0, max(1, n // 3), n).astype(float), rng.integers(0, max(1, n // 2), n).astype(float)
+    q, w = rng.integers(0, 4, n), rng.integers(0, 5, n) * 10 ** 15
+    want = sum(int(q[i]) * int(w[j]) for i in range(n) for j in range(n) if k[j] > k[i] and v[j] < v[i])
+    assert survival.dominated(k, v, q, w) == want
+
+
+def test_a_point_moves_at_most_twice_to_be_compared(spark, monkeypatch):
+    """Not once per level of a tree over all ranks."""
+    df = spark.range(3000).selectExpr("cast(id % 211 as double) k", "cast(id * 7 % 3000 as double) v", "1L q", "1L w").cache()
+    seen = []
+    real = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a: seen.append(self.count()) or real(self, *a))
+    d = df.toPandas()
+    want = sum(((d.k > k) & (d.v < v)).sum() for k, v in zip(d.k, d.v))
+    assert int(survival.dominance_pairs(df, [], "k", "v", "q", "w", 8).first().pairs) == want
+    assert len(seen) == 1 and seen[0] <= 2 * 3000 + 8 * 8
